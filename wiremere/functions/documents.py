@@ -9,6 +9,11 @@ def entity_list(raw: Column) -> Column:
     return F.coalesce(F.from_json(raw, "array<string>"), F.array().cast("array<string>"))
 
 
+def present(texts: list[Column]) -> Column:
+    """An array of the distinct texts that are not NULL; unlike a lambda, it is generated code."""
+    return F.array_except(F.array(*texts), F.array(F.lit(None).cast("string")))
+
+
 def truthy(items: Column) -> Column:
     """An array without its NULL and empty elements; empty for a NULL array."""
     kept = F.filter(items, lambda x: x.isNotNull() & (x != ""))

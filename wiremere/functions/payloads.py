@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wiremere import constants as C
+from wiremere.functions.documents import present
 
 FIELDS = [
     "is_relevant",
@@ -22,19 +23,28 @@ TRUE_WORDS = ["true", "t", "yes", "y", "on", "1", "1.0"]
 FALSE_WORDS = ["false", "f", "no", "n", "off", "0", "0.0"]
 
 
+# One parse per payload: every field as a variant, which keeps its JSON type, and malformed text apart.
+SHAPE = ", ".join(f"{name} variant" for name in FIELDS) + ", _malformed string"
+
+
 def _kind(field: str) -> Column:
+    """The JSON type of a field; VOID for a JSON null, NULL for an absent field."""
     return F.col(f"_{field}_type")
 
 
+def _get(name: str, kind: str) -> Column:
+    return F.try_variant_get(f"_json.{name}", "$", kind)
+
+
 def _text(name: str) -> Column:
-    return F.when(_kind(name) == "STRING", F.try_variant_get("_json", f"$.{name}", "string"))
+    return F.when(_kind(name) == "STRING", _get(name, "string"))
 
 
 def _boolean(name: str, lenient: bool) -> Column:
-    strict = F.when(_kind(name) == "BOOLEAN", F.try_variant_get("_json", f"$.{name}", "boolean"))
+    strict = F.when(_kind(name) == "BOOLEAN", _get(name, "boolean"))
     if not lenient:
         return strict
-    word = F.lower(F.try_variant_get("_json", f"$.{name}", "string"))
+    word = F.lower(_get(name, "string"))
     scalar = (_kind(name) == "STRING") | F.rlike(_kind(name), F.lit(NUMBER))
     return F.coalesce(
         strict,
@@ -46,7 +56,7 @@ def _number(name: str, lenient: bool) -> Column:
     allowed = F.rlike(_kind(name), F.lit(NUMBER))
     if lenient:
         allowed = allowed | (_kind(name) == "STRING")
-    return F.when(allowed, F.try_variant_get("_json", f"$.{name}", "double"))
+    return F.when(allowed, _get(name, "double"))
 
 
 def read_payload(df: DataFrame, payload: str = "payload", lenient: bool = False) -> DataFrame:
@@ -55,18 +65,12 @@ def read_payload(df: DataFrame, payload: str = "payload", lenient: bool = False)
     Absent optional fields take their defaults. JSON types are taken at their word; `lenient` also
     reads booleans and numbers written as text. Unknown keys are ignored.
     """
-    parsed = df.withColumn("_json", F.try_parse_json(payload))
-    parsed = parsed.withColumn("_root", F.schema_of_variant("_json"))
+    options = {"columnNameOfCorruptRecord": "_malformed"}
+    parsed = df.withColumn("_json", F.from_json(payload, SHAPE, options))
     parsed = parsed.withColumns(
-        {
-            f"_{name}_type": F.schema_of_variant(F.try_variant_get("_json", f"$.{name}", "variant"))
-            for name in FIELDS
-        }
-    )
-    entities = F.when(
-        _kind("key_entities").isin(LIST_OF_TEXT),
-        F.try_variant_get("_json", "$.key_entities", "array<string>"),
+        {f"_{name}_type": F.schema_of_variant(f"_json.{name}") for name in FIELDS}
     )
+    entities = F.when(_kind("key_entities").isin(LIST_OF_TEXT), _get("key_entities", "array<string>"))
     parsed = parsed.withColumns(
         {
             "is_relevant": _boolean("is_relevant", lenient),
@@ -93,7 +97,7 @@ def read_payload(df: DataFrame, payload: str = "payload", lenient: bool = False)
 
 
 def _violations(payload: Column) -> Column:
-    is_object = F.startswith(F.col("_root"), F.lit("OBJECT"))
+    is_object = F.startswith(F.ltrim(payload), F.lit("{")) & F.col("_json._malformed").isNull()
 
     def given(name: str) -> Column:
         return _kind(name).isNotNull()
@@ -140,13 +144,9 @@ def _violations(payload: Column) -> Column:
             "summary is required when relevant",
         ),
     ]
-    broken = F.filter(
-        F.array(*[F.when(test, F.lit(text)) for test, text in in_object]),
-        lambda v: v.isNotNull(),
-    )
+    broken = present([F.when(test, F.lit(text)) for test, text in in_object])
     return (
         F.when(payload.isNull(), F.array(F.lit("payload is missing")))
-        .when(F.col("_root").isNull(), F.array(F.lit("payload is not JSON")))
         .when(~is_object, F.array(F.lit("payload is not a JSON object")))
         .otherwise(broken)
     )

@@ -1,58 +1,63 @@
 """Deterministic text rules: category lexicon, dollar amounts, action flag.
 
-They stand in for a language model where none is plugged in; they are not its equal.
-Every rule reads the whole text.
+They stand in for a language model where none is plugged in; they are not its equal. Every rule
+reads the whole text, lower-cased beforehand in a column of its own: an expression that all rules
+share would be worked out again for each of them.
 """
 
 import re
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wiremere import constants as C
+from wiremere.functions.documents import present
 
 # Word borders spelled out, since \b treats accented letters differently from one Java to the next.
-WORD_START = r"(?<![\p{L}\p{N}_])"
-WORD_END = r"(?![\p{L}\p{N}_])"
+WORD_CHAR = r"[\p{L}\p{N}_]"
+WORD_END = f"(?!{WORD_CHAR})"
 DOLLARS = r"\$([0-9]+(?:\.[0-9]+)?) ?(billion|bn|million|m)" + WORD_END
 
 
-def _any_of(words: Iterable[str]) -> str:
-    return "(?:" + "|".join(re.escape(w.lower()) for w in words) + ")"
+def _holds(lowered: Column, word: str, end: str) -> Column:
+    """A plain substring test, then a pattern that starts with the word and looks back from it.
+
+    Few texts reach the pattern, and a pattern that starts with plain text skips ahead quickly.
+    """
+    plain = word.lower()
+    quoted = re.escape(plain)
+    pattern = f"{quoted}(?<!{WORD_CHAR}{quoted}){end}"
+    return F.contains(lowered, F.lit(plain)) & F.rlike(lowered, F.lit(pattern))
 
 
 def has_word(lowered: Column, words: Iterable[str]) -> Column:
-    return F.rlike(lowered, F.lit(WORD_START + _any_of(words) + WORD_END))
+    """Whether one of the words stands in a lower-cased text by itself."""
+    return reduce(or_, [_holds(lowered, w, WORD_END) for w in words])
 
 
 def has_stem(lowered: Column, stems: Iterable[str]) -> Column:
-    return F.rlike(lowered, F.lit(WORD_START + _any_of(stems)))
+    """Whether a word of a lower-cased text starts with one of the stems."""
+    return reduce(or_, [_holds(lowered, s, "") for s in stems])
 
 
-def keyword_hits(text: Column, keywords: Iterable[str]) -> Column:
-    """The distinct keywords found in a text, lower-cased.
-
-    One pass for all keywords. The match itself is empty (a look-ahead), so keywords that overlap
-    in the text are all found; no keyword may begin with another one.
-    """
-    pattern = WORD_START + "(?=(" + _any_of(keywords)[3:-1] + ")" + WORD_END + ")"
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1)))
+def keyword_hits(lowered: Column, keywords: Iterable[str]) -> Column:
+    """The keywords that a lower-cased text holds as whole words, in the order given."""
+    return present([F.when(has_word(lowered, [w]), F.lit(w)) for w in keywords])
 
 
 def category_scores(hits: Column, lexicon: Mapping[str, list[str]] = C.LEXICON) -> dict[str, Column]:
     """Number of a category's keywords among the hits, in category name order."""
     return {
-        category: F.size(
-            F.array_intersect(hits, F.array(*[F.lit(w.lower()) for w in lexicon[category]]))
-        )
+        category: F.size(F.array_intersect(hits, F.array(*[F.lit(w) for w in lexicon[category]])))
         for category in sorted(lexicon)
     }
 
 
-def top_usd(text: Column) -> Column:
-    """The largest dollar amount with a unit in a text, 0 if there is none."""
-    lowered = F.lower(text)
+def top_usd(lowered: Column) -> Column:
+    """The largest dollar amount with a unit in a lower-cased text, 0 if there is none."""
     numbers = F.regexp_extract_all(lowered, F.lit(DOLLARS), F.lit(1))
     units = F.regexp_extract_all(lowered, F.lit(DOLLARS), F.lit(2))
     amounts = F.zip_with(
@@ -60,13 +65,12 @@ def top_usd(text: Column) -> Column:
         units,
         lambda n, u: n.cast("double") * F.when(u.isin("billion", "bn"), 1e9).otherwise(1e6),
     )
-    return F.coalesce(F.array_max(amounts), F.lit(0.0))
+    has_dollars = F.contains(lowered, F.lit("$"))
+    return F.coalesce(F.when(has_dollars, F.array_max(amounts)), F.lit(0.0))
 
 
-def action_rule(text: Column) -> Column:
+def action_rule(lowered: Column, usd: Column) -> Column:
     """A confirmed large deal, catastrophe loss, regulatory sanction or rating downgrade."""
-    lowered = F.lower(text)
-    usd = top_usd(text)
     deal = (
         has_word(lowered, C.COMPETITOR_NAMES + C.BROKER_NAMES)
         & has_stem(lowered, C.DEAL_STEMS)

@@ -19,9 +19,9 @@ def existing_hashes(batch: DataFrame, bronze: DataFrame) -> DataFrame:
     """Hashes of the batch that Bronze holds.
 
     The batch is the build side. Where it is below the broadcast threshold, the large table's hash
-    column is only streamed, never shuffled.
+    column is only streamed, never shuffled. Copies in the batch are merged before they travel.
     """
-    return bronze.select(HASH).join(batch.select(HASH), HASH, "left_semi")
+    return bronze.select(HASH).join(batch.select(HASH).distinct(), HASH, "left_semi")
 
 
 def new_rows(

@@ -18,6 +18,17 @@ LEXICON_MODEL = "lexicon-1"
 
 # ---- the offline default: column expressions only ----
 
+def _lowered(articles: DataFrame, column: str) -> DataFrame:
+    return articles.withColumn("_low", F.lower(F.col(column)))
+
+
+def flag_actions(articles: DataFrame, column: str = "raw_text") -> DataFrame:
+    """Add the largest dollar amount and whether the text calls for action."""
+    priced = _lowered(articles, column).withColumn("usd", rules.top_usd(F.col("_low")))
+    flag = rules.action_rule(F.col("_low"), F.col("usd"))
+    return priced.withColumn("action_required", flag).drop("_low")
+
+
 def classify(
     articles: DataFrame, column: str = "raw_text", lexicon: Mapping[str, list[str]] = C.LEXICON
 ) -> DataFrame:
@@ -26,9 +37,9 @@ def classify(
     A category scores one per keyword found; ties go to the first category name.
     """
     keywords = [w for words in lexicon.values() for w in words]
-    hit = articles.withColumn("hits", rules.keyword_hits(F.col(column), keywords))
+    hit = _lowered(articles, column).withColumn("hits", rules.keyword_hits(F.col("_low"), keywords))
     scores = {f"score_{c}": s for c, s in rules.category_scores(F.col("hits"), lexicon).items()}
-    scored = hit.withColumns(scores)
+    scored = hit.drop("_low").withColumns(scores)
     top = F.greatest(*[F.col(c) for c in scores])
     total = sum((F.col(c) for c in scores), F.lit(0))
     winner = F.coalesce(
@@ -45,15 +56,13 @@ def classify(
 
 def _names_found(hits: Column) -> Column:
     names = C.COMPETITOR_NAMES + C.BROKER_NAMES
-    listed = F.array(*[F.struct(F.lit(n.lower()).alias("key"), F.lit(n).alias("name")) for n in names])
-    found = F.filter(listed, lambda n: F.array_contains(hits, n["key"]))
-    return F.transform(found, lambda n: n["name"])
+    return F.array_intersect(hits, F.array(*[F.lit(n) for n in names]))
 
 
 def lexicon_payloads(articles: DataFrame) -> DataFrame:
     """Payloads of the offline rules: the headline (else the text's start) serves as summary."""
-    scored = classify(articles)
-    action = rules.gate_action(rules.action_rule(F.col("raw_text")), F.col("confidence"))
+    scored = classify(flag_actions(articles))
+    action = rules.gate_action(F.col("action_required"), F.col("confidence"))
     summary = F.left(
         F.coalesce(text.filled(F.col("title")), F.col("raw_text")), F.lit(C.MAX_SUMMARY_CHARS)
     )

@@ -14,7 +14,7 @@ ENTRY_ORDER = ["feed_url", "pos"]
 
 def cap_entries(entries: DataFrame, max_entries: int = C.MAX_ENTRIES_PER_FEED) -> DataFrame:
     """The first entries of every feed."""
-    return top_per_key(entries, ["feed_url"], [F.col("pos")], max_entries)
+    return top_per_key(entries, ["feed_url"], ["pos"], max_entries)
 
 
 def with_text(entries: DataFrame) -> DataFrame:

@@ -14,13 +14,14 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return _cut(df, keys, order, 1)
 
 
-def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+def top_per_key(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
     """The first n rows per key. Beyond the map-side limit, a salt spreads a hot key's rows."""
+    columns = [F.col(c) for c in order]
     if n > MAP_SIDE_LIMIT:
-        # The salt is a hash of the row, so a retried task puts a row in the same place.
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-        df = _cut(salted, [*keys, "_salt"], order, n).drop("_salt")
-    return _cut(df, keys, order, n)
+        # The salt depends on the row alone, so a retried task puts a row in the same place.
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*keys, *order), F.lit(SALTS)))
+        df = _cut(salted, [*keys, "_salt"], columns, n).drop("_salt")
+    return _cut(df, keys, columns, n)
 
 
 def _cut(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:

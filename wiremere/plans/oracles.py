@@ -299,7 +299,7 @@ RULES = f"""[
   CASE WHEN is_relevant AND coalesce(summary, '') = ''
     THEN 'summary is required when relevant' END]"""
 VIOLATIONS = f"""
-SELECT *, CASE WHEN NOT ok THEN 'payload is not JSON'
+SELECT *, CASE WHEN NOT ok THEN 'payload is not a JSON object'
   ELSE array_to_string([v for v in {RULES} if v IS NOT NULL], '; ') END AS violations
 FROM ({TYPED})"""
 ROUTED = f"""

@@ -312,11 +312,7 @@ def _classified(scored: DataFrame) -> DataFrame:
 
 @over("news")
 def action_rules(news):
-    return news.select(
-        "seq",
-        rules.top_usd(F.col("raw_text")).alias("usd"),
-        rules.action_rule(F.col("raw_text")).alias("action_required"),
-    )
+    return extraction.flag_actions(news).select("seq", "usd", "action_required")
 
 
 @over("payloads")

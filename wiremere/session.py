@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Java does not compile methods over 8000 bytes; past that, generated code is better split.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
