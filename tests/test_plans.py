@@ -73,13 +73,32 @@ def test_large_sides_are_not_broadcast(spark):
     """With nothing under the broadcast threshold, joins shuffle both sides by key."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("bronze_insert_ignore", "work_queue", "competitor_activity_star", "lineage"):
+        for name in ("bronze_insert_ignore", "backlog", "competitor_activity_star", "lineage"):
             text = plan(QUERIES[name](spark, SF))
             assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_queue_finds_keys_before_it_reads_texts(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.create()
+    lake.insert_one("s", "text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (
+            status.work_queue(lake.bronze(), lake.status(), 50, lake.silver()),
+            status.dead_letter_page(lake.bronze(), lake.status()),
+        ):
+            text = plan(df)
+            assert "dynamicpruning" in text, "only the partitions of the chosen keys are read"
+            scans = re.findall(r"ReadSchema: struct<[^>]*>", text)
+            assert sum("raw_text" in s for s in scans) == 1
+            assert "struct<id:string,ingested_at:timestamp>" in "".join(scans)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_dedup_and_anti_join_share_one_shuffle(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -22,8 +22,12 @@ def first_filled(*texts: Column) -> Column:
 
 
 def content_hash(url: Column, text: Column) -> Column:
-    """Dedup key: SHA-256 of the stripped URL, or of the stripped text where there is no URL."""
-    return F.sha2(F.coalesce(filled(strip(url)), strip(text)), 256)
+    """Dedup key: SHA-256 of the stripped URL, or of the stripped text where there is no URL.
+
+    Never NULL, so that a join on it needs no NULL test, which would hash every row twice. Rows
+    with neither URL nor text share a key; the article contract keeps them out.
+    """
+    return F.sha2(F.coalesce(filled(strip(url)), strip(text), F.lit("")), 256)
 
 
 def derived_id(kind: str, key: Column) -> Column:

@@ -11,6 +11,9 @@ from wiremere.functions import text
 SILVER, NOISE, FAILED, RETRY = "silver", "noise", "failed", "retry"
 DONE = [SILVER, NOISE, FAILED]
 
+# Largest number of article keys to broadcast: some 10 MB of ids and dates.
+BROADCAST_KEYS = 100_000
+
 
 def current(log: DataFrame) -> DataFrame:
     """Latest status and error per article. Map tasks reduce an article's rows before the shuffle."""
@@ -45,18 +48,37 @@ def work_queue(
     bronze: DataFrame, log: DataFrame, limit: int | None = C.QUEUE_BATCH, silver: DataFrame | None = None
 ) -> DataFrame:
     """The oldest articles still to be processed; the whole backlog for limit None."""
-    todo = backlog(bronze, log, silver)
-    return todo if limit is None else todo.orderBy(*queue_order()).limit(limit)
+    if limit is None:
+        return backlog(bronze, log, silver)
+    todo = backlog(bronze.select(*_key(bronze), "ingested_at"), log, silver)
+    return _head(bronze, todo, queue_order(), limit)
+
+
+def _key(bronze: DataFrame) -> list[str]:
+    """The id and, on a stored table, the partition it lies in."""
+    return [c for c in ("id", "ingest_date") if c in bronze.columns]
+
+
+def _head(bronze: DataFrame, keys: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """The first `limit` of some articles, found by key first.
+
+    Texts are read for the chosen keys only, from the partitions they lie in, and never shuffled.
+    The keys are broadcast up to a fixed number of rows.
+    """
+    chosen = keys.orderBy(*order).limit(limit).select(*_key(bronze))
+    if limit <= BROADCAST_KEYS:
+        chosen = F.broadcast(chosen)
+    return bronze.join(chosen, _key(bronze), "left_semi").orderBy(*order).limit(limit)
+
+
+def _failures(log: DataFrame) -> DataFrame:
+    failed = current(log).filter(F.col("status") == FAILED)
+    return failed.select(F.col("bronze_id").alias("id"), F.col("error").alias("processing_error"))
 
 
 def dead_letters(bronze: DataFrame, log: DataFrame) -> DataFrame:
     """Articles whose latest status is a failure, with a short text preview."""
-    failed = (
-        current(log)
-        .filter(F.col("status") == FAILED)
-        .select(F.col("bronze_id").alias("id"), F.col("error").alias("processing_error"))
-    )
-    return bronze.join(failed, "id").select(
+    return bronze.join(_failures(log), "id").select(
         "id",
         "source_name",
         "source_url",
@@ -68,8 +90,11 @@ def dead_letters(bronze: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def dead_letter_page(bronze: DataFrame, log: DataFrame, limit: int = C.DLQ_PAGE) -> DataFrame:
+    """The newest dead letters."""
     newest = [F.col("ingested_at").desc_nulls_last(), F.col("id").asc()]
-    return dead_letters(bronze, log).orderBy(*newest).limit(limit)
+    failed = bronze.select(*_key(bronze), "ingested_at").join(_failures(log), "id", "left_semi")
+    page = _head(bronze, failed, newest, limit)
+    return dead_letters(page, log).orderBy(*newest).limit(limit)
 
 
 def retry(log: DataFrame, ids: DataFrame, at: datetime, run_id: str = "manual") -> DataFrame:

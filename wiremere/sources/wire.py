@@ -58,23 +58,25 @@ LAYOUTS = {"item": ("title", _rss_entry), f"{ATOM}entry": (f"{ATOM}title", _atom
 
 
 def read_file(path: str) -> Iterator[tuple]:
-    """Entries of one file, in order. A file that breaks off keeps what came before the break."""
+    """Entries of one file, in order; read ones are let go, so memory does not grow with the file.
+
+    A file that breaks off keeps what came before the break.
+    """
     system, inner = _open(path)
-    feed_title, pos, open_tags = None, 0, []
+    feed_title, pos, above = None, 0, []
     with system.open_input_stream(inner) as stream:
         try:
             for event, node in ET.iterparse(stream, events=("start", "end")):
                 if event == "start":
-                    open_tags.append(node.tag)
+                    above.append(node)
                     continue
-                open_tags.pop()
-                inside = not any(tag in LAYOUTS for tag in open_tags)
+                above.pop()
                 if node.tag in LAYOUTS:
-                    yield (path, feed_title, pos, *LAYOUTS[node.tag][1](node))
-                    node.clear()
+                    title_tag, read_entry = LAYOUTS[node.tag]
+                    feed_title = feed_title or above[-1].findtext(title_tag)
+                    yield (path, feed_title, pos, *read_entry(node))
+                    above[-1].remove(node)
                     pos += 1
-                elif inside and len(open_tags) <= 2 and node.tag in ("title", f"{ATOM}title"):
-                    feed_title = feed_title or node.text
         except ET.ParseError:
             return
 
