@@ -11,7 +11,7 @@ from wiremere.plans.lake import Lake
 from wiremere.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-STREAMS = {"stream_gold", "stream_ingest"}
+WRITING = {"stream_gold", "stream_ingest", "whole_run", "feed_files", "competitor_activity_files"}
 WITH_PYTHON = {"extract_model"}
 
 
@@ -19,7 +19,7 @@ def plan(df):
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert ("Python" in text or "ArrowEval" in text) == (name in WITH_PYTHON)

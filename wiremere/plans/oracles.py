@@ -111,6 +111,11 @@ FROM (SELECT DISTINCT ON (k) * FROM (
       ORDER BY k, feed_url, pos)
 WHERE headline || ' ' || summary ILIKE '%news 1%' AND body <> ''""")
 
+check("feed_files", ["news"], f"""
+SELECT coalesce({stripped('source_url')}, '-') AS link, title, {stripped('raw_text')} AS summary,
+  strftime(ingested_at, '%Y-%m-%d') AS published, replace(title, ' news ', '|') AS tags,
+  CAST(NULL AS VARCHAR) AS feed_title FROM news""")
+
 check("article_contract", ["news"], f"""
 SELECT seq, source_name, CASE WHEN source_name = '' THEN 'source_name is empty'
   WHEN {stripped('raw_text')} = '' THEN 'raw_text is empty' END AS reject_reason FROM news""")
@@ -429,7 +434,8 @@ FROM mention m JOIN signals s ON s.id = m.signal_id"""
 COMPETITORS = chain(S, MENTIONS, f"""
 SELECT entity_name, signal_category, count(*) AS count FROM ({JOINED})
 WHERE entity_type = 'Competitor' GROUP BY ALL""")
-ORACLES["competitor_activity"] = ORACLES["competitor_activity_star"] = COMPETITORS
+for _name in ("competitor_activity", "competitor_activity_star", "competitor_activity_files"):
+    ORACLES[_name] = COMPETITORS
 
 RISK_WEEK = f"""
 SELECT entity_name, year_week, count(*) AS count, round(avg(score), 6) AS avg_sent FROM ({JOINED})
@@ -494,6 +500,23 @@ for _period, _test in {
 }.items():
     check(f"timeline_{_period}", S, f"SELECT {NEWS_COLUMNS} FROM ({DERIVED}) WHERE {_test}")
 
+# ---- whole runs ----
+
+ONCE = f"""(SELECT DISTINCT ON (content_hash) * FROM
+  (SELECT *, {hashed()} AS content_hash FROM news WHERE {stripped('raw_text')} <> '')
+  ORDER BY content_hash, seq)"""
+JUDGED = classified(
+    C.LEXICON, f"(SELECT *, {ACTION} AS action_rule FROM (SELECT *, {USD} AS usd FROM {ONCE}))"
+)
+check("whole_run", ["news"], f"""
+SELECT left(sha256('silver|' || bronze_id), 32) AS id, * FROM (
+  SELECT left(sha256('bronze|' || content_hash), 32) AS bronze_id, source_name, source_url, title,
+    signal_category, title AS summary,
+    CAST(to_json([n for n in [{FOUND}] if n IS NOT NULL]) AS VARCHAR) AS key_entities,
+    'NEUTRAL' AS sentiment, action_rule AND confidence >= 0.70 AS action_required,
+    'lexicon-1' AS llm_model
+  FROM ({JUDGED}) WHERE is_relevant)""")
+
 # ---- streams ----
 
 check("stream_ingest", ["document_articles"], f"""

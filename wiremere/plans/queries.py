@@ -10,10 +10,13 @@ from wiremere import constants as C
 from wiremere.functions import documents, labels, payloads, rules, text, times
 from wiremere.operators import bronze, entities, extraction, feeds, gold, status
 from wiremere.operators import signals as sig
+from wiremere.plans import exports
 from wiremere.plans.bindings import bind, table
+from wiremere.plans.job import JobOptions, run_job
 from wiremere.plans.lake import Lake
 from wiremere.session import scratch
-from wiremere.sources import archive
+from wiremere.sources import archive, registry
+from wiremere.sources import feeds as feed_source
 from wiremere.streaming import gold as gold_stream
 from wiremere.streaming import ingest as ingest_stream
 
@@ -88,6 +91,29 @@ def feed_articles(entries):
     return feeds.to_articles(entries, "news 1", 500).drop("arrival")
 
 
+@over("news")
+def feed_files(news):
+    """News written as XML feed files by Spark and read back as feed entries."""
+    folder = scratch(news.sparkSession, "feeds")
+    items = news.select(
+        F.coalesce("source_url", F.lit("-")).alias("link"),
+        "title",
+        F.col("raw_text").alias("description"),
+        F.date_format("ingested_at", "yyyy-MM-dd").alias("pubDate"),
+        F.split("title", " news ").alias("category"),
+    )
+    items.write.format("xml").options(rowTag="item", rootTag="channel").save(folder)
+    entries = feed_source.read_entries(news.sparkSession, folder)
+    return entries.select(
+        text.strip(F.col("link")).alias("link"),
+        "title",
+        text.strip(F.coalesce("summary", F.lit(""))).alias("summary"),
+        "published",
+        F.array_join("tags", "|").alias("tags"),
+        "feed_title",
+    )
+
+
 @over("news")
 def article_contract(news):
     return feeds.check_contract(news).select("seq", "source_name", "reject_reason")
@@ -522,6 +548,17 @@ def competitor_activity_star(signals):
     return entities.competitor_activity(star)
 
 
+@over("signals")
+def competitor_activity_files(signals):
+    """The same from an exported star schema."""
+    spark, folder = signals.sparkSession, scratch(signals.sparkSession, "star")
+    exports.export_star(signals, folder)
+    facts, dims = (
+        spark.read.parquet(f"{folder}/{name}") for name in ("fact_signals", "dim_entities")
+    )
+    return entities.competitor_activity(entities.with_signals(dims, facts, "signal_category"))
+
+
 def _risk_mentions(signals: DataFrame) -> DataFrame:
     return entities.mentions(
         sig.enrich(signals), "signal_category", "year_week", "sentiment_score"
@@ -625,6 +662,21 @@ for _name in sig.PERIODS:
     _period(_name)
 
 
+# ---- whole runs ----
+
+@over("news")
+def whole_run(news):
+    """Silver after one run over all news: ingest, dedup, extraction, routing, status."""
+    spark = news.sparkSession
+    lake = Lake(spark, scratch(spark, "lake"))
+    registry.register("news", lambda spark: news.withColumn("arrival", F.col("seq")))
+    run_job(lake, JobOptions(source="news", batch_size=None), run_at=RUN_AT)
+    return lake.silver().select(
+        "id", "bronze_id", "source_name", "source_url", "title", "signal_category", "summary",
+        "key_entities", "sentiment", "action_required", "llm_model",
+    )
+
+
 # ---- streams ----
 
 def stream_gold(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import sys
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +32,14 @@ def ship_package() -> None:
     cloudpickle.register_pickle_by_value(sys.modules["wiremere"])
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="wiremere-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a fresh local one only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="wiremere-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
