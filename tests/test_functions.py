@@ -70,6 +70,8 @@ def test_model_input(frame):
     assert got[0] == "HEADLINE: Head\n\nSOURCE URL: http://u\n\nARTICLE TEXT:\nbody"
     assert got[1] == "ARTICLE TEXT:\n" + "b" * 3072
     assert got[2] is None
+    whole = values(df, text.model_input(F.col("b"), F.col("t"), F.col("u"), None))
+    assert whole[1] == "ARTICLE TEXT:\n" + "b" * 4000
 
 
 def test_links(frame):

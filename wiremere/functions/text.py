@@ -16,11 +16,6 @@ def filled(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def first_filled(*texts: Column) -> Column:
-    """The first text that is neither NULL nor empty."""
-    return F.coalesce(*[filled(t) for t in texts])
-
-
 def content_hash(url: Column, text: Column) -> Column:
     """Dedup key: SHA-256 of the stripped URL, or of the stripped text where there is no URL.
 
@@ -55,9 +50,12 @@ def keyword_match(query: str, title: Column, summary: Column) -> Column:
 
 
 def model_input(
-    text: Column, title: Column, url: Column, max_chars: int = C.MODEL_INPUT_CHARS
+    text: Column, title: Column, url: Column, max_chars: int | None = C.MODEL_INPUT_CHARS
 ) -> Column:
-    """What an extraction model reads: optional headline and URL blocks, then the cut text."""
+    """What an extraction model reads: headline and URL where there are any, then the text.
+
+    A model's context is limited, so the text is cut; `max_chars` None keeps it whole.
+    """
     def block(label: str, value: Column) -> Column:
         return F.when(filled(value).isNotNull(), F.concat(F.lit(label), value, F.lit("\n\n")))
 
@@ -65,7 +63,7 @@ def model_input(
         F.coalesce(block("HEADLINE: ", title), F.lit("")),
         F.coalesce(block("SOURCE URL: ", url), F.lit("")),
         F.lit("ARTICLE TEXT:\n"),
-        F.left(text, F.lit(max_chars)),
+        text if max_chars is None else F.left(text, F.lit(max_chars)),
     )
 
 

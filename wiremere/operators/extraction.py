@@ -95,7 +95,7 @@ def model_payloads(
     articles: DataFrame,
     make_model: Callable[[], BatchModel],
     model_name: str,
-    max_chars: int = C.MODEL_INPUT_CHARS,
+    max_chars: int | None = C.MODEL_INPUT_CHARS,
     tasks: int | None = None,
 ) -> DataFrame:
     """Payloads of a batch model: list of texts in, list of JSON replies out.
