@@ -15,6 +15,10 @@ from wiremere.session import ship_package
 BatchModel = Callable[[list[str]], list[str]]
 LEXICON_MODEL = "lexicon-1"
 
+# How errors of the model or of its reply begin, and all others.
+FAILED_PREFIX = "Signal extraction failed: "
+UNEXPECTED_PREFIX = "Unexpected: "
+
 
 # ---- the offline default: column expressions only ----
 
@@ -156,12 +160,9 @@ def route(extractions: DataFrame, lenient: bool = False) -> DataFrame:
     missing = F.col("text_missing") if "text_missing" in extractions.columns else F.lit(False)
     crashed = F.col("model_error") if "model_error" in extractions.columns else F.lit(None)
     reason = (
-        F.when(missing, F.lit("Unexpected: raw_text is null"))
-        .when(crashed.isNotNull(), F.concat(F.lit("Unexpected: "), crashed.cast("string")))
-        .when(
-            F.size("violations") > 0,
-            F.concat(F.lit("Signal extraction failed: "), F.array_join("violations", "; ")),
-        )
+        F.when(missing, F.lit(UNEXPECTED_PREFIX + "raw_text is null"))
+        .when(crashed.isNotNull(), F.concat(F.lit(FAILED_PREFIX), crashed.cast("string")))
+        .when(F.size("violations") > 0, F.concat(F.lit(FAILED_PREFIX), F.array_join("violations", "; ")))
     )
     return read.withColumn("error", F.left(reason, F.lit(C.MAX_ERROR_CHARS))).withColumn(
         "outcome",
@@ -203,7 +204,7 @@ def status_rows(routed: DataFrame, run_at: datetime, run_id: str) -> DataFrame:
 
 
 def batch_outcome(routed: DataFrame) -> DataFrame:
-    """Rows per outcome, with the share of the batch that became signals on every row's side."""
+    """Rows per outcome."""
     return routed.groupBy("outcome").agg(F.count("*").alias("records"))
 
 

@@ -349,7 +349,7 @@ check("extract_model", ["news"], """
 SELECT id AS bronze_id,
   CASE WHEN body LIKE '%licence%' THEN 'failed' WHEN body LIKE '%Hurricane%' THEN 'silver'
     ELSE 'noise' END AS outcome,
-  CASE WHEN body LIKE '%licence%' THEN 'Unexpected: no answer' END AS error,
+  CASE WHEN body LIKE '%licence%' THEN 'Signal extraction failed: no answer' END AS error,
   CASE WHEN body NOT LIKE '%licence%' AND body LIKE '%Hurricane%' THEN 'Emerging_Risks' END
     AS signal_category
 FROM (SELECT id, concat(title, source_url, raw_text) AS body FROM news)""")
