@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from wiremere import constants as C
 from wiremere.operators import entities, gold
 from wiremere.operators import signals as sig
+from wiremere.session import materialise
 
 
 def star_frames(signals: DataFrame) -> dict[str, DataFrame]:
@@ -29,11 +30,14 @@ def report_frames(signals: DataFrame) -> dict[str, DataFrame]:
 
 
 def risk_counts(enriched: DataFrame) -> tuple[DataFrame, str]:
-    """Heat map counts and their row key: entities, or titles where no risk has an entity."""
+    """Heat map counts and their row key: entities, or titles where no risk has an entity.
+
+    The counts are stored: the test, the list of weeks, the long and the wide form all read them.
+    """
     joined = entities.mentions(enriched, "signal_category", "year_week", "sentiment_score")
-    by_entity = entities.risk_week(joined)
+    by_entity = materialise(entities.risk_week(joined))
     if by_entity.isEmpty():
-        return entities.title_week(enriched), "title"
+        return materialise(entities.title_week(enriched)), "title"
     return by_entity, "entity_name"
 
 
