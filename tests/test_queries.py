@@ -4,13 +4,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from wiremere.plans import oracles
+from wiremere.plans import queries as registered
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registered.QUERIES, oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +31,8 @@ def comparable(columns, rows):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

@@ -108,7 +108,7 @@ def model_payloads(
     many calls run side by side. Where a batch fails, its rows are tried one by one, so that only
     the bad ones fail. Store the result before using it twice: models may answer differently.
     """
-    ship_package()
+    ship_package(articles.sparkSession)
 
     @F.pandas_udf("payload string, model_error string")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -1,11 +1,12 @@
 """Session settings and the shared scratch folder."""
 
-import sys
+import os
+import shutil
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -27,9 +28,13 @@ def build(app: str = "wiremere", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def ship_package() -> None:
-    """Send this package's functions along with a UDF, so executors need no copy of it."""
-    cloudpickle.register_pickle_by_value(sys.modules["wiremere"])
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application, through Spark's own file service."""
+    package, context = Path(__file__).parent, spark.sparkContext
+    name = f"{package.name}.zip"
+    if not any(os.path.basename(p) == name for p in context._python_includes):
+        base = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="wiremere-")), package.name)
+        context.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))
 
 
 @cache

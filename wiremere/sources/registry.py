@@ -27,7 +27,7 @@ def register(name: str, source: Source | type[DataSource]) -> None:
 
 def load(spark: SparkSession, source: type[DataSource], **options: str) -> DataFrame:
     """Read a Python data source."""
-    ship_package()
+    ship_package(spark)
     spark.dataSource.register(source)
     return spark.read.format(source.name()).options(**options).load()
 
