@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wiremere.llm import minhash
+from wiremere.llm import bpe, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +20,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_bpe_round_trip(spark, sf):
+    coded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), decoded=True)
+    return coded.select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op3_near_duplicates(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"))
