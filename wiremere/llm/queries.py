@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremere.llm import bpe, minhash
+from wiremere.llm import bpe, minhash, mix, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_quality_scores(spark, sf):
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op2_bpe_round_trip(spark, sf):
     coded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), decoded=True)
@@ -34,3 +39,12 @@ def op2_bpe_round_trip(spark, sf):
 @query
 def op3_near_duplicates(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op8_source_mix(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op8_source_mix"] = mix.SQL
