@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremere.llm import bpe, minhash, mix, pii, quality
+from wiremere.llm import bpe, minhash, mix, pii, quality, shards, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,33 @@ def op3_near_duplicates(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op5_top_k_search(spark, sf):
+    return topk.top_k(table(spark, sf, "embeddings"))
+
+
+ORACLES["op5_top_k_search"] = """
+WITH t AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS terms FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.terms, d.terms)::BIGINT AS score
+  FROM t q JOIN t d ON d.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query
+def op6_shard_placement(spark, sf):
+    return shards.place(table(spark, sf, "documents").select("doc_id"))
+
+
+ORACLES["op6_shard_placement"] = shards.sql()
+
+
 @query
 def op8_source_mix(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
