@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremere.llm import bpe, minhash, mix, pii, quality, shards, topk
+from wiremere.llm import bpe, licences, minhash, mix, pii, quality, shards, spots, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,14 @@ def op3_near_duplicates(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op4_spot_signatures(spark, sf):
+    rows = spots.with_neighbours(table(spark, sf, "documents"))
+    edited = F.sha2("edited_text", 256).alias("edited_sha256")
+    rest = ["fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    return rows.select("doc_id", "n_chars", edited, *rest)
+
+
 @query
 def op5_top_k_search(spark, sf):
     return topk.top_k(table(spark, sf, "embeddings"))
@@ -68,6 +76,27 @@ def op6_shard_placement(spark, sf):
 ORACLES["op6_shard_placement"] = shards.sql()
 
 
+@query
+def op7_licence_scan(spark, sf):
+    found = licences.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("matches", lambda m: m["base"])
+
+    def labels(matches):
+        return F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))))
+
+    places = F.transform(base, lambda m: m["word"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 @query
 def op8_source_mix(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
@@ -89,3 +118,12 @@ def op9_personal_data(spark, sf):
     return found.select(
         "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op10_warc_archive(spark, sf):
+    records = warc.read(warc.write(table(spark, sf, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op10_warc_archive"] = warc.SQL
