@@ -106,7 +106,7 @@ def write(pages: DataFrame, folder: str | None = None, date: str | None = None)
                 if out is None:
                     files, path = pafs.FileSystem.from_uri(name)
                     files.create_dir(path.rsplit("/", 1)[0])
-                    out = files.open_output_stream(path)
+                    out = files.open_output_stream(path, compression=None)
                 member = gzip.compress(record(page_id, url, payload.encode(), digest, refers_to, date), LEVEL, mtime=0)
                 out.write(member)
                 rows.append((page_id, url, name, offset, len(member), digest))
