@@ -1,0 +1,69 @@
+"""Archives: round trip, revisits, byte ranges of selected records."""
+
+import gzip
+import hashlib
+
+from wiremere.llm import warc
+
+ROWS = [
+    (1, "http://a/é", "x" * 200),
+    (2, None, "x" * 200),
+    (3, "http://b\r\nWARC-Type: bad", "é\r\n\r\n" * 60),
+    (4, "u", "y" * 99),
+    (5, "u", "y" * 99),
+    (6, "u", None),
+    (7, "u", ""),
+    (0, "z", "x" * 200),
+    (9, "big", "q" * 700_000),
+    (None, "n", "x" * 200),
+    (4, "u", "y" * 99),
+]
+
+
+def pages(spark, rows=ROWS):
+    return spark.createDataFrame([(*r, "extra", 1) for r in rows], "page_id long, url string, html string, digest string, offset int").repartition(3)
+
+
+def test_round_trip(spark):
+    index = warc.write(pages(spark))
+    got = warc.read(index).collect()
+    assert all(r.intact for r in got)
+    first = {}
+    for i, _, html in ROWS:
+        if i is not None:
+            first[html or ""] = min(i, first.get(html or "", i))
+    expected = []
+    for i, url, html in ROWS:
+        data = (html or "").encode()
+        again = i is not None and len(data) >= 100 and first[html] != i
+        kind = ("revisit", first[html], None) if again else ("response", None, html or "")
+        clean = url and url.replace("\r", "%0D").replace("\n", "%0A")
+        expected.append((i, clean, *kind, len(data), hashlib.sha256(data).hexdigest(), True))
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, expected))
+
+
+def test_members_stand_where_the_index_says(spark):
+    for row in warc.write(pages(spark)).collect():
+        with open(row.file.removeprefix("file://"), "rb") as file:
+            file.seek(row.offset)
+            headers, _, _ = warc.parse(gzip.decompress(file.read(row.length)))
+        assert headers["warc-record-id"] == f"<urn:page:{'' if row.page_id is None else row.page_id}>"
+        assert headers["warc-payload-digest"] == f"sha256:{row.digest}"
+
+
+def test_selected_records_only(spark):
+    index = warc.write(pages(spark)).filter("page_id in (3, 9)")
+    assert sorted(r.page_id for r in warc.read(index).collect()) == [3, 9]
+    assert warc.read(index.limit(0)).count() == 0
+
+
+def test_requests_are_coalesced():
+    members = [(0, 10), (10, 10), (20 + warc.GAP, 5), (26 + 2 * warc.GAP, 5), (40 + 2 * warc.GAP, warc.READ)]
+    requests = list(warc.coalesce(members))
+    assert [m for _, _, ms in requests for m in ms] == members
+    assert [len(ms) for _, _, ms in requests] == [3, 1, 1]
+    assert all(start == ms[0][0] and end == sum(ms[-1]) for start, end, ms in requests)
+
+
+def test_empty_table(spark):
+    assert warc.read(warc.write(pages(spark, []))).count() == 0

@@ -122,6 +122,16 @@ def loose_segments(text: str) -> list[Segment]:
     return sorted({s for s in found if s[1] - s[0] <= MAX_LOOSE})
 
 
+def free_segments(text: str, strict: list[Segment]) -> list[Segment]:
+    """Loose candidates that touch no strict segment."""
+    loose = loose_segments(text)
+    if not loose or not strict:
+        return loose
+    starts, ends = [s for s, _, _ in strict], sorted(e for _, e, _ in strict)
+    # As many have ended before its start as have begun before its end.
+    return [c for c in loose if np.searchsorted(ends, c[0], side="right") == np.searchsorted(starts, c[1])]
+
+
 N_SHAPES = 9
 N_FEATURES = len(KINDS) * N_SHAPES
 
@@ -216,15 +226,17 @@ def examples(texts: list[str]) -> list[tuple[list[Segment], np.ndarray, np.ndarr
         for n, (start, end, kind) in enumerate(base_segments(text)):
             turn = t + n
             body = respell(text[start:end], kind, turn)
-            lead = text[max(0, start - CONTEXT) : start].rsplit("+", 1)[-1]
+            # Whole words around it: a cut number would be a false example by accident.
+            lead = text[max(0, start - CONTEXT) : start].partition(" ")[2].rsplit("+", 1)[-1]
+            tail = text[end : end + CONTEXT].rpartition(" ")[0]
             cue = ["", f" {CUES[KINDS[kind]][turn % len(CUES[KINDS[kind]])]}: "][turn // 3 % 2]
-            window = f"{lead}{cue} {body} {text[end : end + CONTEXT]}"
+            window = f"{lead}{cue} {body} {tail}"
             true = (len(lead) + len(cue) + 1, len(lead) + len(cue) + 1 + len(body), kind)
             false = f"{lead} " + "".join(chr(48 + (ord(c) * 7 + turn + i) % 10) if c.isdigit() else c for i, c in enumerate(body))
             for made, answer in ((window, true), (false, None)):
                 if answer is None and kind != 2:
                     continue
-                segments = loose_segments(made)
+                segments = free_segments(made, base_segments(made))
                 if answer is None:
                     segments = [s for s in segments if not luhn(_digits(made[s[0] : s[1]]))]
                 if segments:
@@ -239,7 +251,7 @@ def train(texts: list[str]) -> np.ndarray:
     # Where the sample shows nothing of a kind, its segments need a check or a cue to be taken.
     weights[:, 0] = [0.0, 0.0, -2.0, -1.0]
     weights[:, 8] = 2.0
-    weights[2, 1] = 2.0
+    weights[2, 1] = 4.0
     weights[1, 6] = 2.0
     start = weights.reshape(-1)
     weights = start.copy()
@@ -262,11 +274,7 @@ def segments(text: str, weights: np.ndarray) -> list[tuple[int, int, int, bool]]
     """All segments of a text: strict ones, and loose ones that the field chooses beside them."""
     strict = base_segments(text)
     found = [(s, e, k, True) for s, e, k in strict]
-    loose = loose_segments(text)
-    if loose:
-        starts, ends = [s for s, _, _ in strict], sorted(e for _, e, _ in strict)
-        # Free of strict segments: as many have ended before its start as have begun before its end.
-        loose = [c for c in loose if np.searchsorted(ends, c[0], side="right") == np.searchsorted(starts, c[1])]
+    loose = free_segments(text, strict)
     if loose:
         scores = np.stack([describe(text, c) for c in loose]) @ weights - MARGIN
         found += [(*loose[i], False) for i in best(loose, scores)]

@@ -27,6 +27,7 @@ K = 10
 RANGE_ROWS = 8192
 BLOCK_ROWS = 256
 CHUNK_ROWS = 512
+LEAST, MOST = -(1 << 63), (1 << 63) - 1  # larger scores are given as these
 
 
 def terms(vectors: DataFrame, column: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -87,7 +88,7 @@ def search(ids: np.ndarray, queries: np.ndarray, blocks: list[tuple], k: int) ->
     rising, falling = np.maximum(q, 0), np.minimum(q, 0)
     bounds = np.stack([rising @ most.astype(kind) + falling @ least.astype(kind) for _, _, least, most in blocks], axis=1)
     order = np.argsort(-bounds, axis=1, kind="stable")
-    top_score = np.full((len(q), k), -np.inf, dtype=object if kind is object else np.float64 if kind is np.float64 else object)
+    top_score = np.full((len(q), k), -np.inf, dtype=np.float64 if kind is np.float64 else object)
     top_id = np.full((len(q), k), np.iinfo(np.int64).max)
     active = np.arange(len(q))
     for step in range(len(blocks)):
@@ -106,7 +107,7 @@ def search(ids: np.ndarray, queries: np.ndarray, blocks: list[tuple], k: int) ->
                 best = np.lexsort((all_ids[n], -all_scores[n]))[:k]
                 top_score[row], top_id[row] = all_scores[n][best], all_ids[n][best]
     row, rank = np.nonzero(top_score > -np.inf)
-    return [(ids[row], top_id[row, rank], np.array([int(s) for s in top_score[row, rank]], np.int64))]
+    return [(ids[row], top_id[row, rank], np.array([min(max(int(s), LEAST), MOST) for s in top_score[row, rank]], np.int64))]
 
 
 def _searched(k: int):
