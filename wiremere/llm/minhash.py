@@ -2,9 +2,8 @@
 
 Documents with equal shingle sets are merged first, so a group of exact copies is one node. Band
 buckets then propose pairs: every member against the bucket's smallest document, which takes one row
-per member and joins a group of near copies in one round. Members that are still in different
-components meet in blocks, and only pairs whose signatures agree leave a block. Every link is
-confirmed on full shingle sets.
+per member and joins most of a group of near copies in one round. Members that are still in different
+components meet in blocks, and only links leave a block. Every link is confirmed on full shingle sets.
 
 Nulls: a null text is empty. Empty texts have no shingles and are linked with nothing. A row without
 doc_id takes no part in links; its component_id is null and it is kept. Repeated equal rows give
@@ -145,22 +144,35 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield rest
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (stray, member) of one bucket and block pair: other component, signatures agree."""
-    for run in _runs(batches, ["bucket", "left", "right"]):
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) from strays to members of other components, within one home and block pair.
+
+    Sizes and signatures rule out most members; the rest are compared on full sets. One link per
+    stray and component is enough to join the two.
+    """
+    for run in _runs(batches, ["home", "left", "right"]):
         ids, component, size = (run.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
         stray = run.column("stray").to_numpy()
         marks = np.frombuffer(b"".join(run.column("marks").to_pylist()), np.uint8).reshape(len(ids), -1)
+        sets = run.column("shingles").combine_chunks()
+        bounds, values = sets.offsets.to_numpy(), sets.values.to_numpy()
         others = np.flatnonzero(~stray)
         found = []
         for i in np.flatnonzero(stray):
-            at = others[(component[others] != component[i])]
+            at = others[component[others] != component[i]]
             at = at[100 * np.minimum(size[at], size[i]) >= THRESHOLD * np.maximum(size[at], size[i])]
             at = at[(marks[at] == marks[i]).sum(axis=1) >= LEAST_EQUAL]
-            found.append(np.stack([np.minimum(ids[at], ids[i]), np.maximum(ids[at], ids[i])]))
+            if not len(at):
+                continue
+            own = np.sort(values[bounds[i] : bounds[i + 1]])
+            theirs = np.concatenate([values[bounds[j] : bounds[j + 1]] for j in at])
+            hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+            both = np.add.reduceat(hit, np.concatenate([[0], np.cumsum(size[at])[:-1]]), dtype=np.int64)
+            near = at[100 * both >= THRESHOLD * (size[at] + size[i] - both)]
+            near = near[np.unique(component[near], return_index=True)[1]]
+            found += [(ids[i], ids[j]) for j in near]
         if found:
-            both = np.unique(np.concatenate(found, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
 
 
 def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -174,42 +186,34 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     )
     counts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     homes = counts.groupBy("bucket").agg(
-        F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("members"), F.count("*").alias("parts")
-    )
-    homes = homes.filter("parts > 1").select(
-        "bucket", F.col("most.component").alias("home"), "members", (F.col("members") - F.col("most.n")).alias("strays")
+        F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")
     )
+    homes = homes.filter("parts > 1").select("bucket", F.col("most.component").alias("home"))
     return labelled.join(homes, "bucket")
 
 
-def _blocks(apart: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Candidate pairs (stray, member) of buckets, met block by block.
+def _late_links(apart: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links of strays, met block by block with all that share a home with them.
 
-    Strays and members are dealt to blocks by their hash; every pair of blocks is one small group, so
-    a bucket of any size spreads over many tasks, and only agreeing pairs are given out.
+    Two members of a bucket that are in different components are a stray and a home member, or two
+    strays of the same home. So per home, each block of strays meets each block of all. Blocks are
+    dealt by hash and every pair of blocks is one small group: a home of any size spreads over many
+    tasks, a document is not met once per bucket, and only links leave a block.
     """
+    groups = apart.select("home", "doc_id", "component").distinct()
+    sizes = groups.groupBy("home").agg(F.count("*").alias("members"), F.count_if(F.col("component") != F.col("home")).alias("strays"))
+    full = groups.join(sizes, "home").join(nodes, "doc_id")
     blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK)).cast("long")
     own = lambda n: F.pmod(F.xxhash64("doc_id"), blocks(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
-    full = apart.join(nodes.select("doc_id", "n_shingles", "marks"), "doc_id")
-    columns = ["bucket", "left", "right", "stray", "doc_id", "component", "n_shingles", "marks"]
+    columns = ["home", "left", "right", "stray", "doc_id", "component", "n_shingles", "marks", "shingles"]
     strays = full.filter("component <> home").withColumns({"stray": F.lit(True), "left": own("strays")})
     strays = strays.withColumn("right", every("members")).select(columns)
     others = full.withColumns({"stray": F.lit(False), "right": own("members")})
     others = others.withColumn("left", every("strays")).select(columns)
-    met = strays.unionByName(others).repartition("bucket", "left", "right").sortWithinPartitions("bucket", "left", "right")
-    return met.mapInArrow(_block_pairs, "u long, v long").distinct()
-
-
-def _shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id and full shingle set of the wanted documents."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stored(chosen.mapInArrow(_sets, "doc_id long, shingles array<long>"))
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    keys = ["home", "left", "right"]
+    met = strays.unionByName(others).repartition(*keys).sortWithinPartitions(*keys)
+    return met.mapInArrow(_block_links, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -224,18 +228,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = heads.select("doc_id", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
     members = stored(rows.join(shared.filter("lead < last"), "bucket").select("bucket", "doc_id", "lead"))
-    nodes = stored(heads.drop("bands", "set_key").join(members.select("doc_id").distinct(), "doc_id", "left_semi"))
+
+    # Full sets of all documents that share a bucket; their texts are shuffled once, at any size.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chosen = texts.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
+    sets = chosen.dropDuplicates(["doc_id"]).mapInArrow(_sets, "doc_id long, shingles array<long>")
+    nodes = stored(heads.select("doc_id", "n_shingles", "marks").join(sets, "doc_id"))
 
     first = members.filter("doc_id <> lead").select(F.col("lead").alias("u"), F.col("doc_id").alias("v"))
-    first = stored(_tested(first, nodes))
-    sets = _shingles(docs, _ends(first))
-    links = stored(_confirmed(first, sets))
+    links = stored(_confirmed(stored(_tested(first, nodes)), nodes))
     labels = components(links)
-
-    rest = stored(_blocks(stored(_apart(members, labels)), nodes).join(first, ["u", "v"], "left_anti"))
-    fresh = _ends(rest).join(sets.select("doc_id"), "doc_id", "left_anti")
-    sets = sets.unionByName(_shingles(docs, fresh))
-    labels = components(links.unionByName(_confirmed(rest, sets)))
+    late = stored(_late_links(stored(_apart(members, labels)), nodes))
+    if not late.isEmpty():
+        labels = components(links.unionByName(late))
 
     rows = table.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     rows = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
