@@ -37,7 +37,7 @@ def test_first_row_per_hash_wins(batch):
     good = feeds.accepted(batch)
     fresh = bronze.new_rows(good, good.limit(0), [F.col("seq")])
     assert sorted(r["title"] for r in fresh.collect()) == ["a", "c"]
-    last = bronze.new_rows(good, good.limit(0), [F.col("seq").desc()])
+    last = bronze.new_rows(good, good.limit(0), [-F.col("seq")])
     assert sorted(r["title"] for r in last.collect()) == ["b", "d"]
 
 

@@ -51,7 +51,7 @@ def test_routing_of_a_plugged_in_model(articles, make_model):
     rows = by_id(routed)
     assert [rows[str(i)]["outcome"] for i in range(5)] == ["silver", "noise", "failed", "failed", "failed"]
     assert rows["2"]["error"] == "Signal extraction failed: payload is not a JSON object"
-    assert rows["3"]["error"].startswith("Signal extraction failed: model crashed!") and len(rows["3"]["error"]) == 500
+    assert rows["3"]["error"].startswith("Signal extraction failed: model crashed!") and len(rows["3"]["error"]) > 500, "whole"
     assert rows["4"]["error"] == "Unexpected: raw_text is null"
     counts = {r["outcome"]: r["records"] for r in extraction.batch_outcome(routed).collect()}
     assert counts == {"silver": 1, "noise": 1, "failed": 3}

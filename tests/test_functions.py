@@ -66,11 +66,11 @@ def test_keyword_spans_title_and_summary(frame):
 def test_model_input(frame):
     rows = [("body", "Head", "http://u"), ("b" * 4000, None, ""), (None, "Head", None)]
     df = frame("b string, t string, u string", rows)
-    got = values(df, text.model_input(F.col("b"), F.col("t"), F.col("u")))
+    got = values(df, text.model_input(F.col("b"), F.col("t"), F.col("u"), 3072))
     assert got[0] == "HEADLINE: Head\n\nSOURCE URL: http://u\n\nARTICLE TEXT:\nbody"
     assert got[1] == "ARTICLE TEXT:\n" + "b" * 3072
     assert got[2] is None
-    whole = values(df, text.model_input(F.col("b"), F.col("t"), F.col("u"), None))
+    whole = values(df, text.model_input(F.col("b"), F.col("t"), F.col("u")))
     assert whole[1] == "ARTICLE TEXT:\n" + "b" * 4000
 
 
@@ -141,6 +141,15 @@ HEADLINES = {
     "New ideas emerge at Gen Re for $900 million": False,
     "Earthquake bill of $1 billion": True,
     "Earthquake bill of $1 billionaire": False,
+    "Acme Retail downgraded by Fitch": False,
+    "BaFin intervention in a bank": False,
+    "Fitch kept the rating; analysts downgrade their hopes": False,
+    "FINMA revokes the licence of a reinsurer": True,
+    "Rates may fall. Aon buys nothing.\nFitch downgraded Aon by a notch. More could follow.": True,
+    "Fitch may have downgraded Aon. Others agree.": False,
+    "A flood struck; the state declared a national emergency": True,
+    "A flood struck. A national emergency is feared": False,
+    "Aon was named. Fitch downgraded a retailer.": False,
     None: None,
 }
 

@@ -132,7 +132,9 @@ def test_pages_fall_back_to_titles(signals):
     ))
     counts, row = exports.risk_counts(df)
     assert (row, rows(counts, "title", "count")) == ("title", [("storm", 1)])
-    point = exports.broker_points(df).collect()
+    whole = sorted(tuple(p) for p in exports.broker_points(df).collect())
+    assert whole == [("x" * 35, 1, -1.0, 0, 15), ("x" * 40, 1, 1.0, 1, 30)]
+    point = entities.broker_matrix_by_title(df, 30).collect()
     assert [tuple(p) for p in point] == [("x" * 30, 2, 0.0, 1, 30)]
 
 

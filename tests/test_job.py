@@ -14,7 +14,7 @@ ITEMS = [
     ("Downgrade", "Swiss Re downgraded by Fitch"),
     ("Cup final", "Football results"),
     ("Broker", "Aon grows"),
-    ("Blank", "   "),
+    ("Blank", "&#160;"),
 ]
 
 
@@ -102,6 +102,55 @@ def test_unreadable_source_leaves_the_backlog_to_be_processed(lake, feed):
     assert (result.ingested, result.outcomes) == (0, {"silver": 2, "noise": 1})
 
 
+def test_rejected_rows_are_stored_and_counted(lake, feed, tmp_path):
+    broken = tmp_path / "broken.xml"
+    broken.write_text("<rss><channel><title>B</title><item><title>cut off</ti")
+    paths = [feed, str(tmp_path / "missing.xml"), str(broken)]
+    result = run_job(lake, JobOptions(source="rss", source_options={"paths": paths}))
+    assert (result.ingested, result.inserted, result.rejected) == (3, 3, 2)
+    reasons = sorted(r["reject_reason"] for r in lake.rejects().collect())
+    assert reasons == ["entry is not well-formed", "raw_text is empty"]
+
+
+def test_a_run_leaves_no_scratch_behind(lake, feed, tmp_path, monkeypatch):
+    from wiremere import session
+
+    shared = tmp_path / "shared"
+    shared.mkdir()
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(shared))
+    result = run_job(lake, options(feed, export_to=str(tmp_path / "out")))
+    assert result.inserted == 3
+    assert session.scratch(lake.spark, "x").startswith(str(shared))
+    assert list(shared.iterdir()) == []
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as Space
+
+    from wiremere import session
+
+    for master in ("yarn", "spark://host", "local-cluster[2,1,1024]"):
+        away = Space(conf=Space(get=lambda key, default: default), sparkContext=Space(master=master))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_dir(away)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_a_time_without_zone_is_utc_wherever_the_driver_runs(spark, zone, monkeypatch):
+    import time
+
+    from wiremere.functions import times
+
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        shown = spark.range(1).select(times.instant(datetime(2024, 2, 1, 3, 4, 5, 6)).cast("string")).first()[0]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert shown == "2024-02-01 03:04:05.000006"
+
+
 def test_unknown_source(lake):
     with pytest.raises(KeyError):
         run_job(lake, JobOptions(source="nowhere"))

@@ -5,6 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from wiremere import schemas
+from wiremere.functions import times
 from wiremere.operators import bronze, extraction, status
 from wiremere.operators.ranking import first_per_key, top_per_key
 from wiremere.plans.lake import Lake
@@ -27,31 +29,125 @@ def test_no_python_and_no_cross_join(spark, name):
     assert "NestedLoop" not in text
 
 
-def test_ranking_is_cut_before_the_shuffle(frame):
-    df = frame("k string, v int", [("a", 1)])
-    for cut in (first_per_key(df, ["k"], [F.col("v")]), top_per_key(df, ["k"], ["v"], 20)):
-        nodes = re.findall(r"WindowGroupLimit|Exchange", plan(cut).split("(1)")[0])
-        assert nodes == ["WindowGroupLimit", "Exchange", "WindowGroupLimit"]
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def exchanged(text):
+    """Columns that go into each shuffle."""
+    return re.findall(r"\n\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
+
+
+@pytest.fixture
+def texts(spark, tmp_path):
+    """A stored table with long texts."""
+    path = str(tmp_path / "texts")
+    rows = [(f"k{i % 50}", f"h{i % 50}", str(i), i, f"text {i}" * 9, i) for i in range(4000)]
+    ddl = "k string, content_hash string, id string, v int, raw_text string, ingested_at int"
+    spark.createDataFrame(rows, ddl).repartition(8).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    """A lake with a row in Bronze and one in Silver."""
+    from datetime import datetime
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.create()
+    lake.insert_one("s", "text")
+    columns = {"bronze_id": "1", "signal_category": "Emerging_Risks"}
+    silver = spark.range(1).select(
+        *[F.lit(columns.get(f.name)).cast(f.dataType).alias(f.name) for f in schemas.SILVER if f.name != "extracted_at"],
+        times.instant(datetime(2024, 12, 31)).alias("extracted_at"),
+    )
+    lake.append("silver", silver)
+    return lake
+
+
+@pytest.mark.parametrize("n", [1, 20, 5000])
+def test_caps_and_firsts_leave_texts_where_they_lie(texts, n):
+    for cut in (top_per_key(texts, ["k"], "v", n), first_per_key(texts, ["k"], [F.col("v")])):
+        assert not any("raw_text" in columns for columns in exchanged(plan(cut).split("(1)")[1])[:-1])
+        joins = re.findall(r"BroadcastHashJoin|SortMergeJoin", plan(cut))
+        assert set(joins) == {"BroadcastHashJoin"}
+
+
+def test_a_salt_spreads_a_hot_key(frame):
+    from wiremere.operators import ranking
+
+    seen = []
+    keep, ranking.materialise = ranking.materialise, lambda df: seen.append(plan(df)) or df
+    try:
+        top_per_key(frame("k string, v int, raw_text string", []), ["k"], "v", 5000)
+    finally:
+        ranking.materialise = keep
+    shuffles = re.findall(r"hashpartitioning\(([^)]*), 8\)", seen[0])
+    assert any("_salt" in s for s in shuffles)
+    assert "raw_text" not in "".join(exchanged(seen[0]))
+
 
+def test_only_new_rows_move_their_texts(texts):
+    """The anti-join sees hashes; texts are joined to the few new keys where they lie."""
+    from wiremere.operators import ranking
 
-def test_large_caps_shuffle_by_key_and_salt_first(frame):
-    text = plan(top_per_key(frame("k string, v int, wide string", []), ["k"], ["v"], 5000))
-    shuffles = re.findall(r"hashpartitioning\(([^)]*), 8\)", text)
-    assert len(shuffles) == 2 and any("_salt" in s for s in shuffles)
+    seen = []
+    keep, ranking.materialise = ranking.materialise, lambda df: (seen.append(plan(df)), keep(df))[1]
+    try:
+        fresh = bronze.new_rows(texts, texts.limit(5), [F.col("v")])
+    finally:
+        ranking.materialise = keep
+    assert "LeftAnti" in seen[0] and "raw_text" not in "".join(exchanged(seen[0]))
+    assert "SortMergeJoin" not in plan(fresh)
 
 
-def test_period_and_category_filters_reach_the_scan(spark, tmp_path):
+def test_stored_periods_leave_out_partitions(lake):
     from datetime import date
 
     from wiremere.operators import signals as sig
+    from wiremere.sources import archive
+
+    for period in sig.PERIODS:
+        found = plan(sig.timeline(lake.silver(), period, date(2024, 12, 31)).select("id"))
+        assert re.search(r"PartitionFilters: \[.*extracted_date", found)
+    today = str(lake.bronze().first()["ingest_date"])
+    scanned = plan(archive.scan(lake.bronze(), date_from=today, date_to=today).select("id"))
+    assert re.search(r"PartitionFilters: \[.*ingest_date", scanned)
 
+
+def test_dead_letters_move_previews_only(spark, tmp_path, no_broadcast):
     lake = Lake(spark, str(tmp_path))
     lake.create()
-    month = plan(sig.timeline(lake.silver(), "month", date(2024, 1, 30)).select("id"))
+    moved = exchanged(plan(status.dead_letters(lake.bronze(), lake.status())))
+    assert any("raw_text_preview" in columns for columns in moved)
+    assert not any(re.search(r"raw_text#", columns) for columns in moved)
+
+
+def test_queue_of_some_articles_spreads_over_tasks(spark, tmp_path):
+    rows = [(str(i), f"t{i}", i) for i in range(5000)]
+    path = str(tmp_path / "bronze")
+    stored = spark.createDataFrame(rows, "id string, raw_text string, ingested_at int")
+    stored.repartition(8).write.parquet(path)
+    log = spark.createDataFrame([], "bronze_id string, status string, error string, logged_at timestamp, run_id string")
+    queue = status.work_queue(spark.read.parquet(path), log, 1000)
+    assert sum("raw_text" in s for s in re.findall(r"ReadSchema: struct<[^>]*>", plan(queue))) == 1
+    assert queue.rdd.getNumPartitions() > 1
+    assert queue.count() == 1000
+
+
+def test_period_and_category_filters_reach_the_scan(lake):
+    from datetime import date
+
+    from wiremere.operators import signals as sig
+
+    month = plan(sig.timeline(lake.silver(), "month", date(2024, 12, 30)).select("id"))
     pushed = re.search(r"PushedFilters: \[(.*)\]", month).group(1)
     assert "GreaterThanOrEqual(extracted_at" in pushed and "LessThan(extracted_at" in pushed
     assert re.search(r"ReadSchema: struct<id:string,extracted_at:timestamp>", month)
-    risks = plan(sig.latest_in_category(lake.silver(), "Emerging_Risks"))
+    risks = plan(sig.latest_in_category(lake.silver(), "Emerging_Risks", 10))
     assert "EqualTo(signal_category,Emerging_Risks)" in risks and "TakeOrderedAndProject" in risks
 
 
@@ -88,7 +184,7 @@ def test_queue_finds_keys_before_it_reads_texts(spark, tmp_path):
     try:
         for df in (
             status.work_queue(lake.bronze(), lake.status(), 50, lake.silver()),
-            status.dead_letter_page(lake.bronze(), lake.status()),
+            status.dead_letter_page(lake.bronze(), lake.status(), 50),
         ):
             text = plan(df)
             assert "dynamicpruning" in text, "only the partitions of the chosen keys are read"
@@ -99,16 +195,6 @@ def test_queue_finds_keys_before_it_reads_texts(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_dedup_and_anti_join_share_one_shuffle(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        rows = spark.createDataFrame([("h", 1)], "content_hash string, seq int")
-        text = plan(bronze.new_rows(rows, rows, [F.col("seq")]))
-        assert len(re.findall(r"Arguments: hashpartitioning", text)) == 2, "one for each side"
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_filter_on_outcome_does_not_repeat_the_parsing(spark, frame):
     df = frame("bronze_id string, payload string", [("1", "{}")])
     text = plan(extraction.route(df).filter(F.col("outcome") == status.SILVER).select("bronze_id"))

@@ -34,7 +34,7 @@ def brute(rows, n):
 
 @pytest.mark.parametrize("n", [1, 20, 1001, 5000])
 def test_top_per_key(skewed, rows, n):
-    got = sorted(tuple(r) for r in top_per_key(skewed, ["k"], ["v"], n).collect())
+    got = sorted(tuple(r) for r in top_per_key(skewed, ["k"], "v", n).collect())
     assert got == brute(rows, n)
 
 
@@ -56,6 +56,7 @@ def test_copies_of_one_article(skewed, rows):
 def test_one_feed_with_a_third_of_the_entries(skewed, rows):
     entries = skewed.select(F.col("k").alias("feed_url"), F.col("v").cast("bigint").alias("pos"))
     assert feeds.cap_entries(entries, 20).count() == len(brute(rows, 20))
+    assert feeds.cap_entries(entries).count() == N
 
 
 def test_one_article_with_a_third_of_the_status_rows(skewed, rows):

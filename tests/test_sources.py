@@ -8,7 +8,6 @@ from wiremere import schemas
 from wiremere.operators import feeds
 from wiremere.sources import archive, registry
 from wiremere.sources import feeds as feed_files
-from wiremere.sources.wire import FeedDataSource
 
 RSS = """<?xml version="1.0" encoding="UTF-8"?>
 <rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"
@@ -48,7 +47,7 @@ def listed(df, *columns):
 
 def test_rss_entries(spark, folder):
     entries = feed_files.read_entries(spark, str(folder / "rss" / "daily.xml"))
-    assert entries.schema.names == schemas.FEED_ENTRY.names
+    assert entries.schema.names == [*schemas.FEED_ENTRY.names, "feed_rank", "malformed"]
     rows = {r["title"]: r for r in entries.collect()}
     first = rows["First"]
     assert (first["feed_title"], first["link"], first["content"]) == ("Daily Wire", "http://daily/1", "the long one")
@@ -91,13 +90,8 @@ def test_cap_comes_before_dedup_and_dedup_before_keyword(spark, folder):
     assert read(query="long one") == [], "the keyword looks at title and summary, not content"
 
 
-@pytest.mark.parametrize("reader", ["xml", "wire"])
-def test_atom(spark, folder, reader):
-    path = str(folder / "atom")
-    if reader == "xml":
-        entries = feed_files.read_entries(spark, path, "atom")
-    else:
-        entries = registry.load(spark, FeedDataSource, path=path)
+def test_atom(spark, folder):
+    entries = feed_files.read_entries(spark, str(folder / "atom"), "atom")
     assert listed(entries, "title", "feed_title", "link", "summary", "content") == [
         ("One", "Atom Wire", "http://atom/1", "sum", "body"),
         ("Two", "Atom Wire", "http://atom/2", "sum two", None),
@@ -106,13 +100,59 @@ def test_atom(spark, folder, reader):
     assert (one["tags"], one["authors"], one["published"]) == (["ils"], ["B. Writer"], "2024-01-02")
 
 
-def test_wire_reads_one_task_per_feed_and_survives_a_broken_file(spark, folder):
-    (folder / "rss" / "broken.xml").write_text(RSS[: RSS.index("<item><title>First again")])
-    (folder / "rss" / "notes.txt").write_text("not a feed")
-    entries = registry.load(spark, FeedDataSource, path=str(folder / "rss"))
-    assert entries.rdd.getNumPartitions() == 3
-    counts = {r["feed_url"].rsplit("/", 1)[1]: r["count"] for r in entries.groupBy("feed_url").count().collect()}
-    assert counts == {"broken.xml": 2, "daily.xml": 4, "plain.xml": 4}
+def test_wire_reads_both_kinds_alike(spark, folder):
+    columns = ["title", "source_name", "source_url", "raw_text", "raw_metadata"]
+    both = registry.source(spark, "wire", path=[str(folder / "rss"), str(folder / "atom")])
+    rss = registry.source(spark, "rss", paths=str(folder / "rss"))
+    atom = registry.source(spark, "rss", paths=str(folder / "atom"), kind="atom")
+    assert listed(both, *columns) == sorted(listed(rss, *columns) + listed(atom, *columns))
+
+
+NESTED = """<rss><channel><title>N</title>
+<item><link>http://n/1</link><description>Hello <b>bold</b> tail</description><author>two</author></item>
+<item><guid>nothing said</guid></item>
+<item><title>  </title><link>http://n/2</link><description> </description></item>
+</channel></rss>"""
+
+
+def test_nothing_is_invented_and_nothing_lost(spark, tmp_path):
+    (tmp_path / "nested.xml").write_text(NESTED)
+    (tmp_path / "broken.xml").write_text(RSS[: RSS.index("<description>copy")])
+    found = registry.find("rss")(spark, paths=str(tmp_path))
+    good = feeds.accepted(found)
+    assert listed(good, "source_url", "raw_text") == [
+        ("http://daily/1", "the long one"),
+        ("http://daily/2", "Second"),
+        ("http://n/1", "Hello <b>bold</b> tail"),
+    ]
+    nested = json.loads(good.filter("source_url = 'http://n/1'").first()["raw_metadata"])
+    assert nested["authors"] == ["two"]
+    bad = sorted((r["reject_reason"], r["raw_text"] or "") for r in feeds.rejected(found).collect())
+    assert [reason for reason, _ in bad] == [feeds.EMPTY, feeds.MALFORMED, "raw_text is empty"]
+    assert "First again" in bad[1][1]
+
+
+def test_a_missing_feed_costs_the_others_nothing(spark, folder):
+    paths = [str(folder / "none.xml"), str(folder / "rss" / "plain.xml"), str(folder / "no" / "*.xml")]
+    assert registry.source(spark, "rss", paths=paths).count() == 3
+    assert registry.source(spark, "rss", paths=paths[0]).count() == 0
+
+
+def test_the_feed_given_first_wins_a_copy(spark, tmp_path):
+    for name in ("a", "b"):
+        item = f"<item><link>http://same</link><description>{name}</description></item>"
+        (tmp_path / f"{name}.xml").write_text(f"<rss><channel><title>{name}</title>{item}</channel></rss>")
+    for first, second in ("ab", "ba"):
+        paths = [str(tmp_path / f"{n}.xml") for n in (first, second)]
+        assert listed(registry.source(spark, "rss", paths=paths), "raw_text") == [(first,)]
+
+
+def test_a_long_feed_is_read_whole(spark, tmp_path):
+    items = "".join(f"<item><link>http://l/{i}</link><title>t</title></item>" for i in range(2500))
+    (tmp_path / "long.xml").write_text(f"<rss><channel>{items}</channel></rss>")
+    path = str(tmp_path / "long.xml")
+    assert registry.source(spark, "rss", paths=path).count() == 2500
+    assert registry.source(spark, "rss", paths=path, max_entries=1500).count() == 1500
 
 
 DOCS = [
@@ -154,14 +194,14 @@ def test_archive_articles(spark, archive_file):
     ],
 )
 def test_archive_filters(spark, archive_file, options, urls):
-    found = archive.read_archive(spark, archive_file, **options)
+    found = feeds.accepted(archive.read_archive(spark, archive_file, **options))
     assert [u.rsplit("/", 1)[1] for (u,) in listed(found, "source_url")] == urls
 
 
 def test_registry(spark, frame):
     with pytest.raises(KeyError, match="unknown source 'bloom'.*archive.*rss.*wire"):
         registry.source(spark, "bloom")
-    mine = frame("source_name string", [("x",)])
+    mine = frame("source_name string, raw_text string", [("x", "t")])
     registry.register("Mine", lambda spark, n: mine.limit(n))
     try:
         assert registry.source(spark, "MINE", n=1).count() == 1

@@ -27,13 +27,13 @@ def log(frame):
 
 
 def ids(df, column="id"):
-    return [r[column] for r in df.collect()]
+    return sorted((r[column] for r in df.collect()), reverse=True)
 
 
 def test_states_in_turn(bronze, log, frame):
     failed = log(("1", "failed", "boom", T[1]))
     assert ids(status.work_queue(bronze, failed)) == ["3", "2", "0"]
-    letter = status.dead_letter_page(bronze, failed).first()
+    letter = status.dead_letter_page(bronze, failed, 5).first()
     assert (letter["id"], letter["processing_error"], len(letter["raw_text_preview"])) == ("1", "boom", 200)
 
     again = status.retry(failed, frame("bronze_id string", [("1",), ("2",)]), T[2])

@@ -19,21 +19,26 @@ SENTIMENTS = list(SENTIMENT_SCORES)
 ENTITY_TYPES = {"Competitor_Strategy": "Competitor", "Broker_Dynamics": "Broker"}
 OTHER_ENTITY_TYPE = "Risk"
 
-# Limits and thresholds.
-MAX_SUMMARY_CHARS = 1000
-MAX_ERROR_CHARS = 500
+# Limits and thresholds. The contract's are applied always, the usual ones only where
+# a caller passes them: by default nothing is cut.
+MAX_SUMMARY_CHARS = 1000  # contract: a longer summary breaks it
 PREVIEW_CHARS = 200
-BROKER_TITLE_CHARS = 30
-MODEL_INPUT_CHARS = 3072
-MAX_ENTRIES_PER_FEED = 20
-MAX_ARCHIVE_RESULTS = 200
-QUEUE_BATCH = 50
-DLQ_PAGE = 50
-NEWS_ROWS = 50
-LATEST_ROWS = 10
+USUAL_ERROR_CHARS = 500
+USUAL_TITLE_CHARS = 30
+USUAL_INPUT_CHARS = 3072
+USUAL_FEED_ENTRIES = 20
+USUAL_RESULTS = 200
+USUAL_BATCH = 50
+USUAL_PAGE = 50
+USUAL_LATEST = 10
 ACTION_CONFIDENCE = 0.70
 DEFAULT_TITLE = "Untitled"
 
+# Labels of the blocks of a model's input.
+HEADLINE_LABEL = "HEADLINE: "
+URL_LABEL = "SOURCE URL: "
+TEXT_LABEL = "ARTICLE TEXT:\n"
+
 # Code points removed at both ends of a text (Unicode white space and the four
 # ASCII information separators).
 WHITE_SPACE = "".join(
@@ -84,6 +89,10 @@ LEXICON = {
     RISK: RISK_TOPICS,
 }
 
+# Words of the offline model's sentiment.
+POSITIVE_WORDS = ["growth", "grows", "profit", "record", "upgraded", "acquires", "strong"]
+NEGATIVE_WORDS = ["loss", "losses", "damage", "downgraded", "sanction", "revocation", "darker", "weak"]
+
 # Words and amounts of the action rules. Stems match at the start of a word.
 DEAL_STEMS = ["acquir", "acquisition", "merg"]
 DEAL_USD = 5e8
@@ -91,6 +100,9 @@ PERIL_STEMS = ["hurricane", "earthquake", "flood", "wildfire", "pandemic"]
 PERIL_USD = 1e9
 REGULATORS = ["Lloyd's", "BaFin", "FINMA", "IAIS"]
 SANCTION_STEMS = ["sanction", "suspend", "revoke", "revocation", "intervention"]
+SANCTION_TARGETS = ["reinsurer", "syndicate"]
+EMERGENCY_PHRASES = ["national emergency", "regional emergency"]
+DECLARED_STEMS = ["declar"]
 DOWNGRADE_WORDS = ["downgrade", "downgraded"]
 RATING_AGENCIES = ["Moody's", "S&P", "Fitch", "AM Best"]
 SPECULATIVE_WORDS = ["reportedly", "rumoured", "expected", "may", "could"]

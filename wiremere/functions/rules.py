@@ -56,6 +56,17 @@ def category_scores(hits: Column, lexicon: Mapping[str, list[str]] = C.LEXICON)
     }
 
 
+def sentiment(lowered: Column) -> Column:
+    """By words of praise and of trouble: both are MIXED, none is NEUTRAL."""
+    good, bad = has_word(lowered, C.POSITIVE_WORDS), has_word(lowered, C.NEGATIVE_WORDS)
+    return (
+        F.when(good & bad, F.lit("MIXED"))
+        .when(good, F.lit("POSITIVE"))
+        .when(bad, F.lit("NEGATIVE"))
+        .otherwise(F.lit("NEUTRAL"))
+    )
+
+
 def top_usd(lowered: Column) -> Column:
     """The largest dollar amount with a unit in a lower-cased text, 0 if there is none."""
     numbers = F.regexp_extract_all(lowered, F.lit(DOLLARS), F.lit(1))
@@ -69,18 +80,44 @@ def top_usd(lowered: Column) -> Column:
     return F.coalesce(F.when(has_dollars, F.array_max(amounts)), F.lit(0.0))
 
 
-def action_rule(lowered: Column, usd: Column) -> Column:
-    """A confirmed large deal, catastrophe loss, regulatory sanction or rating downgrade."""
-    deal = (
-        has_word(lowered, C.COMPETITOR_NAMES + C.BROKER_NAMES)
-        & has_stem(lowered, C.DEAL_STEMS)
-        & (usd >= C.DEAL_USD)
+# A sentence ends at a mark before white space, or with its line. "$6.4 billion" stays whole.
+SENTENCE_END = r"(?<=[.!?])\s+|[\r\n]+"
+
+
+def action_rule(lowered: Column) -> Column:
+    """Whether a sentence reports, as a fact, a large deal, a catastrophe, a sanction or a downgrade.
+
+    Deals and downgrades need a named company, sanctions a named company or a reinsurer. Speculation
+    counts in the sentence of the event only. Few texts hold the words of an event at all; only those
+    are split.
+    """
+    found = F.exists(F.split(lowered, SENTENCE_END), _confirmed)
+    return F.when(_event(lowered, large=F.lit(True)), found).when(lowered.isNotNull(), F.lit(False))
+
+
+def _confirmed(sentence: Column) -> Column:
+    return _event(sentence) & ~has_word(sentence, C.SPECULATIVE_WORDS)
+
+
+def _event(lowered: Column, large: Column | None = None) -> Column:
+    """The words of an event; `large` takes the place of the amounts' test."""
+    usd = top_usd(lowered) if large is None else None
+    at_least = lambda limit: usd >= limit if large is None else large
+    companies = C.COMPETITOR_NAMES + C.BROKER_NAMES
+    deal = has_stem(lowered, C.DEAL_STEMS) & has_word(lowered, companies) & at_least(C.DEAL_USD)
+    emergency = has_word(lowered, C.EMERGENCY_PHRASES) & has_stem(lowered, C.DECLARED_STEMS)
+    catastrophe = has_stem(lowered, C.PERIL_STEMS) & (at_least(C.PERIL_USD) | emergency)
+    sanction = (
+        has_word(lowered, C.REGULATORS)
+        & has_stem(lowered, C.SANCTION_STEMS)
+        & has_word(lowered, companies + C.SANCTION_TARGETS)
+    )
+    downgrade = (
+        has_word(lowered, C.DOWNGRADE_WORDS)
+        & has_word(lowered, C.RATING_AGENCIES)
+        & has_word(lowered, companies)
     )
-    catastrophe = has_stem(lowered, C.PERIL_STEMS) & (usd >= C.PERIL_USD)
-    sanction = has_word(lowered, C.REGULATORS) & has_stem(lowered, C.SANCTION_STEMS)
-    downgrade = has_word(lowered, C.DOWNGRADE_WORDS) & has_word(lowered, C.RATING_AGENCIES)
-    speculative = has_word(lowered, C.SPECULATIVE_WORDS)
-    return (deal | catastrophe | sanction | downgrade) & ~speculative
+    return deal | catastrophe | sanction | downgrade
 
 
 def gate_action(flag: Column, confidence: Column, threshold: float = C.ACTION_CONFIDENCE) -> Column:

@@ -50,19 +50,19 @@ def keyword_match(query: str, title: Column, summary: Column) -> Column:
 
 
 def model_input(
-    text: Column, title: Column, url: Column, max_chars: int | None = C.MODEL_INPUT_CHARS
+    text: Column, title: Column, url: Column, max_chars: int | None = None
 ) -> Column:
     """What an extraction model reads: headline and URL where there are any, then the text.
 
-    A model's context is limited, so the text is cut; `max_chars` None keeps it whole.
+    A caller whose model has a limited context passes `max_chars`, which cuts the text.
     """
     def block(label: str, value: Column) -> Column:
         return F.when(filled(value).isNotNull(), F.concat(F.lit(label), value, F.lit("\n\n")))
 
     return F.concat(
-        F.coalesce(block("HEADLINE: ", title), F.lit("")),
-        F.coalesce(block("SOURCE URL: ", url), F.lit("")),
-        F.lit("ARTICLE TEXT:\n"),
+        F.coalesce(block(C.HEADLINE_LABEL, title), F.lit("")),
+        F.coalesce(block(C.URL_LABEL, url), F.lit("")),
+        F.lit(C.TEXT_LABEL),
         text if max_chars is None else F.left(text, F.lit(max_chars)),
     )
 

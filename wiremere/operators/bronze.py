@@ -5,8 +5,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiremere.functions import text
-from wiremere.operators.ranking import first_per_key
+from wiremere.functions import text, times
+from wiremere.operators.ranking import first_keys, pick
 
 HASH = "content_hash"
 
@@ -29,12 +29,13 @@ def new_rows(
 ) -> DataFrame:
     """Insert-or-ignore: the first row per hash by arrival order, minus hashes Bronze holds.
 
-    By default one anti-join; the dedup's partitioning on the hash serves it too. With `probe`, for
-    a stored batch that is small next to Bronze, Bronze is first reduced to the batch's hashes.
+    Hashes and arrival decide alone; texts are read for the new rows only. Rows that tie in arrival
+    must be equal. With `probe`, for a stored batch that is small next to Bronze, Bronze is first
+    reduced to the batch's hashes.
     """
-    first = first_per_key(batch, [HASH], arrival)
+    first = first_keys(batch, [HASH], arrival)
     stored = existing_hashes(batch, bronze) if probe else bronze.select(HASH)
-    return first.join(stored, HASH, "left_anti")
+    return pick(batch, first.join(stored, HASH, "left_anti"), [HASH], arrival)
 
 
 def stamp(articles: DataFrame, run_at: datetime) -> DataFrame:
@@ -47,7 +48,7 @@ def stamp(articles: DataFrame, run_at: datetime) -> DataFrame:
         "title",
         "raw_text",
         F.coalesce("raw_metadata", F.lit("{}")).alias("raw_metadata"),
-        F.lit(run_at).cast("timestamp").alias("ingested_at"),
+        times.instant(run_at).alias("ingested_at"),
     )
 
 

@@ -94,7 +94,11 @@ def broker_matrix(joined: DataFrame) -> DataFrame:
     return _matrix(mine, F.col("entity_name"))
 
 
-def broker_matrix_by_title(enriched: DataFrame) -> DataFrame:
-    """The stand-in for `broker_matrix` where signals name no entities: one point per title."""
-    brokers = sig.in_category(enriched, C.BROKER)
-    return _matrix(brokers, text.preview(F.col("title"), C.BROKER_TITLE_CHARS))
+def broker_matrix_by_title(enriched: DataFrame, title_chars: int | None = None) -> DataFrame:
+    """The stand-in for `broker_matrix` where signals name no entities: one point per title.
+
+    With `title_chars`, titles that begin alike share a point.
+    """
+    title = F.col("title")
+    point = title if title_chars is None else text.preview(title, title_chars)
+    return _matrix(sig.in_category(enriched, C.BROKER), point)

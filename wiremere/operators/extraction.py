@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wiremere import constants as C
-from wiremere.functions import payloads, rules, text
+from wiremere.functions import payloads, rules, text, times
 from wiremere.operators import status
 from wiremere.session import ship_package
 
@@ -27,10 +27,10 @@ def _lowered(articles: DataFrame, column: str) -> DataFrame:
 
 
 def flag_actions(articles: DataFrame, column: str = "raw_text") -> DataFrame:
-    """Add the largest dollar amount and whether the text calls for action."""
+    """Add the largest dollar amount, whether the text calls for action, and its sentiment as `mood`."""
     priced = _lowered(articles, column).withColumn("usd", rules.top_usd(F.col("_low")))
-    flag = rules.action_rule(F.col("_low"), F.col("usd"))
-    return priced.withColumn("action_required", flag).drop("_low")
+    flag = rules.action_rule(F.col("_low"))
+    return priced.withColumns({"action_required": flag, "mood": rules.sentiment(F.col("_low"))}).drop("_low")
 
 
 def classify(
@@ -76,7 +76,7 @@ def lexicon_payloads(articles: DataFrame) -> DataFrame:
             "signal_category",
             F.when(F.col("is_relevant"), summary).alias("summary"),
             _names_found(F.col("hits")).alias("key_entities"),
-            F.lit(None).cast("string").alias("sentiment"),
+            F.when(F.col("is_relevant"), F.col("mood")).alias("sentiment"),
             F.col("confidence").alias("confidence_score"),
             (F.col("is_relevant") & action).alias("action_required"),
         ),
@@ -99,13 +99,13 @@ def model_payloads(
     articles: DataFrame,
     make_model: Callable[[], BatchModel],
     model_name: str,
-    max_chars: int | None = C.MODEL_INPUT_CHARS,
+    max_chars: int | None = None,
     tasks: int | None = None,
 ) -> DataFrame:
     """Payloads of a batch model: list of texts in, list of JSON replies out.
 
     `make_model` runs once per task. Only the model's input crosses to Python. `tasks` bounds how
-    many calls run side by side. Where a batch fails, its rows are tried one by one, so that only
+    many calls run side by side; by default as many as there are shuffle partitions. Where a batch fails, its rows are tried one by one, so that only
     the bad ones fail. Store the result before using it twice: models may answer differently.
     """
     ship_package(articles.sparkSession)
@@ -116,7 +116,9 @@ def model_payloads(
         for batch in batches:
             yield pd.DataFrame(_replies(model, batch.tolist()), columns=["payload", "model_error"])
 
-    source = articles.repartition(tasks) if tasks else articles
+    # A model call costs far more than moving its text, so the calls are spread evenly.
+    tasks = tasks or int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    source = articles.repartition(tasks)
     prompt = text.model_input(F.col("raw_text"), F.col("title"), F.col("source_url"), max_chars)
     asked = source.withColumn("reply", ask.asNondeterministic()(prompt))
     return _extractions(asked.select("*", "reply.payload", "reply.model_error"), model_name)
@@ -164,7 +166,7 @@ def route(extractions: DataFrame, lenient: bool = False) -> DataFrame:
         .when(crashed.isNotNull(), F.concat(F.lit(FAILED_PREFIX), crashed.cast("string")))
         .when(F.size("violations") > 0, F.concat(F.lit(FAILED_PREFIX), F.array_join("violations", "; ")))
     )
-    return read.withColumn("error", F.left(reason, F.lit(C.MAX_ERROR_CHARS))).withColumn(
+    return read.withColumn("error", reason).withColumn(
         "outcome",
         F.when(F.col("error").isNotNull(), F.lit(status.FAILED))
         .when(F.col("is_relevant"), F.lit(status.SILVER))
@@ -186,7 +188,7 @@ def silver_rows(routed: DataFrame, run_at: datetime) -> DataFrame:
         F.coalesce("sentiment", F.lit("NEUTRAL")).alias("sentiment"),
         F.col("confidence_score").cast("float").alias("confidence_score"),
         F.coalesce("action_required", F.lit(False)).alias("action_required"),
-        F.lit(run_at).cast("timestamp").alias("extracted_at"),
+        times.instant(run_at).alias("extracted_at"),
         "llm_model",
         F.coalesce("payload", F.lit("{}")).alias("raw_llm_response"),
     )
@@ -198,6 +200,19 @@ def not_yet_stored(silver_batch: DataFrame, silver: DataFrame) -> DataFrame:
     return silver_batch.join(known, "bronze_id", "left_anti")
 
 
+def lineage(silver: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Each signal with what it came from: model, reply, and its article's digest and time of arrival.
+
+    Texts are read for their digest where they lie and do not travel.
+    """
+    source = bronze.select(
+        F.col("id").alias("bronze_id"), F.md5("raw_text").alias("text_md5"), "ingested_at"
+    )
+    return silver.join(source, "bronze_id").select(
+        "bronze_id", "signal_category", "llm_model", "raw_llm_response", "text_md5", "ingested_at"
+    )
+
+
 def status_rows(routed: DataFrame, run_at: datetime, run_id: str) -> DataFrame:
     outcomes = routed.withColumn("status", F.col("outcome"))
     return status.entries(outcomes, run_at, run_id)

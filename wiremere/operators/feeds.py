@@ -5,16 +5,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiremere import constants as C
 from wiremere.functions import documents, text
 from wiremere.operators.ranking import first_per_key, top_per_key
 
-ENTRY_ORDER = ["feed_url", "pos"]
+MALFORMED = "entry is not well-formed"
+EMPTY = "entry has no link, title or text"
 
 
-def cap_entries(entries: DataFrame, max_entries: int = C.MAX_ENTRIES_PER_FEED) -> DataFrame:
-    """The first entries of every feed."""
-    return top_per_key(entries, ["feed_url"], ["pos"], max_entries)
+def entry_order(entries: DataFrame) -> list[Column]:
+    """Feeds in the order they were given where that is known, entries as they stand in the feed."""
+    return [F.col(c) for c in ("feed_rank", "feed_url", "pos") if c in entries.columns]
+
+
+def cap_entries(entries: DataFrame, max_entries: int | None = None) -> DataFrame:
+    """The first entries of every feed; all of them without a number."""
+    return entries if max_entries is None else top_per_key(entries, ["feed_url"], "pos", max_entries)
 
 
 def with_text(entries: DataFrame) -> DataFrame:
@@ -32,7 +37,7 @@ def drop_repeats(entries: DataFrame, seen: DataFrame | None = None) -> DataFrame
     keyed = entries.withColumn(
         "dedup_key", F.coalesce(text.filled(F.col("link")), text.entry_title(F.col("title")))
     )
-    first = first_per_key(keyed, ["dedup_key"], [F.col(c) for c in ENTRY_ORDER])
+    first = first_per_key(keyed, ["dedup_key"], entry_order(entries))
     return first if seen is None else first.join(seen.select("dedup_key"), "dedup_key", "left_anti")
 
 
@@ -64,9 +69,10 @@ def reject_reason(source_name: Column, raw_text: Column) -> Column:
 
 
 def check_contract(articles: DataFrame) -> DataFrame:
-    return articles.withColumn(
-        "reject_reason", reject_reason(F.col("source_name"), F.col("raw_text"))
-    )
+    """Add `reject_reason`; a reason that the source gave stays."""
+    reason = reject_reason(F.col("source_name"), F.col("raw_text"))
+    given = [F.col("reject_reason")] if "reject_reason" in articles.columns else []
+    return articles.withColumn("reject_reason", F.coalesce(*given, reason))
 
 
 def accepted(articles: DataFrame) -> DataFrame:
@@ -80,20 +86,31 @@ def rejected(articles: DataFrame) -> DataFrame:
 def to_articles(
     entries: DataFrame,
     query: str | None = None,
-    max_entries: int = C.MAX_ENTRIES_PER_FEED,
+    max_entries: int | None = None,
 ) -> DataFrame:
-    """The whole chain, to articles with their order of arrival.
+    """The whole chain, to articles with their order of arrival and the reason to reject them, if any.
 
-    An entry the keyword drops still counts as seen, so dedup comes before the filter.
+    An entry the keyword drops still counts as seen, so dedup comes before the filter. Entries that
+    are malformed (column `malformed`, the text of the entry) or empty are rejected, never filled in.
     """
-    kept = match_keyword(drop_repeats(with_text(cap_entries(entries, max_entries))), query)
-    return accepted(with_source(kept)).select(
+    capped = cap_entries(entries, max_entries)
+    if "malformed" not in capped.columns:
+        capped = capped.withColumn("malformed", F.lit(None).cast("string"))
+    said = F.coalesce(*[text.filled(F.col(c)) for c in ("link", "title", "summary", "content")])
+    reason = F.when(F.col("malformed").isNotNull(), F.lit(MALFORMED)).when(said.isNull(), F.lit(EMPTY))
+    bad = capped.withColumn("reject_reason", reason).filter("reject_reason is not null")
+    good = capped.filter(F.col("malformed").isNull() & said.isNotNull())
+    kept = match_keyword(drop_repeats(with_text(good)), query)
+    kept = kept.withColumn("reject_reason", F.lit(None).cast("string"))
+    found = kept.unionByName(bad.withColumn("raw_text", F.col("malformed")), allowMissingColumns=True)
+    return check_contract(with_source(found)).select(
         "source_name",
         F.col("link").alias("source_url"),
         "title",
         "raw_text",
         "raw_metadata",
-        F.struct(*ENTRY_ORDER).alias("arrival"),
+        F.struct(*entry_order(entries)).alias("arrival"),
+        "reject_reason",
     )
 
 

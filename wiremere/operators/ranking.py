@@ -1,29 +1,48 @@
-"""First row and top rows per key, safe for keys that hold a large part of the table."""
+"""First row and top rows per key, safe for keys that hold a large part of the table.
+
+Both work on narrow columns: keys, order and nothing else is sorted and shuffled. What they choose is
+stored, so Spark knows its size when it joins it to the rows: little is sent to where the rows lie,
+and only for much do the rows move. Orders are ascending columns.
+"""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark cuts row_number() <= n inside every map task, before the shuffle, up to this n
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-MAP_SIDE_LIMIT = 1000
-SALTS = 64
-
+from wiremere.session import materialise
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the first in the given order; each map task sends one row per key."""
-    return _cut(df, keys, order, 1)
 
+def first_keys(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Per key the smallest order, as a struct `first_at`; map tasks merge a key's rows before the shuffle."""
+    return df.select(*keys, F.struct(*order).alias("at")).groupBy(*keys).agg(F.min("at").alias("first_at"))
 
-def top_per_key(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
-    """The first n rows per key. Beyond the map-side limit, a salt spreads a hot key's rows."""
-    columns = [F.col(c) for c in order]
-    if n > MAP_SIDE_LIMIT:
-        # The salt depends on the row alone, so a retried task puts a row in the same place.
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*keys, *order), F.lit(SALTS)))
-        df = _cut(salted, [*keys, "_salt"], columns, n).drop("_salt")
-    return _cut(df, keys, columns, n)
 
-
-def _cut(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """One row per key, the first in the given order. Rows that tie in it must be equal."""
+    return pick(df, first_keys(df, keys, order), keys, order)
+
+
+def pick(df: DataFrame, chosen: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The rows of df that `chosen` (keys, first_at) names, one for each."""
+    chosen = materialise(chosen)
+    found = df.withColumn("first_at", F.struct(*order)).join(chosen, [*keys, "first_at"], "left_semi")
+    return found.dropDuplicates([*keys, "first_at"]).drop("first_at")
+
+
+def top_per_key(df: DataFrame, keys: list[str], order: str, n: int) -> DataFrame:
+    """The first n rows per key by a column that is unique in it, by the same plan for any n.
+
+    A key's rows are dealt over as many salts as there are shuffle partitions and cut to n in each;
+    the second cut sees n rows per salt at most. It gives the key's last value, a table of one row
+    per key, which the rows are then compared with where they lie.
+    """
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The salt depends on the row alone, so a retried task puts a row in the same place.
+    narrow = df.select(*keys, order).withColumn("_salt", F.pmod(F.xxhash64(*keys, order), F.lit(salts)))
+    for by in ([*keys, "_salt"], keys):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(order))
+        narrow = narrow.withColumn("_rank", rank).filter(F.col("_rank") <= n)
+    last = narrow.groupBy(*[F.col(k).alias(f"_last_{k}") for k in keys]).agg(F.max(order).alias("_last"))
+    last = materialise(last)
+    same = [df[k].eqNullSafe(last[f"_last_{k}"]) for k in keys]
+    found = df.join(last, [*same, df[order] <= last["_last"]])
+    return found.select(*[df[c] for c in df.columns])

@@ -1,11 +1,12 @@
 """Row-level views of Silver signals: enrichment, feeds, lists, periods."""
 
 from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiremere import constants as C
 from wiremere.functions import labels, text, times
 from wiremere.schemas import FACT_SIGNALS
 
@@ -47,7 +48,7 @@ def category_feed(signals: DataFrame, category: str) -> DataFrame:
     return in_category(signals, category).orderBy(*newest_first())
 
 
-def latest_in_category(signals: DataFrame, category: str, limit: int = C.LATEST_ROWS) -> DataFrame:
+def latest_in_category(signals: DataFrame, category: str, limit: int) -> DataFrame:
     return (
         category_feed(signals, category)
         .limit(limit)
@@ -94,33 +95,51 @@ def news_rows(enriched: DataFrame) -> DataFrame:
     )
 
 
-def news_table(enriched: DataFrame, max_rows: int = C.NEWS_ROWS) -> DataFrame:
-    """The newest signals, shaped for a news table."""
-    return news_rows(enriched.orderBy(*newest_first()).limit(max_rows))
+def news_table(enriched: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Signals newest first, shaped for a news table; the newest `max_rows` where that is given."""
+    ordered = enriched.orderBy(*newest_first())
+    return news_rows(ordered if max_rows is None else ordered.limit(max_rows))
 
 
-# The period filters give the scan a range on extracted_at, which Parquet statistics can use.
+# The period filters give the scan a range on extracted_at, which Parquet statistics can use, and on a
+# stored table one on its day column, which leaves out whole partitions.
 
-def _between(start: date, end: date) -> Column:
-    at = F.col("extracted_at")
-    return (at >= F.lit(start.isoformat()).cast("timestamp_ntz")) & (
-        at < F.lit(end.isoformat()).cast("timestamp_ntz")
-    )
+def _between(signals: DataFrame, *ranges: tuple[date, date]) -> DataFrame:
+    """Signals of some ranges of days, the end excluded."""
+    at, days = F.col("extracted_at"), [F.col("extracted_date")] if "extracted_date" in signals.columns else []
+    tests = []
+    for start, end in ranges:
+        first, after = (F.lit(d.isoformat()).cast("timestamp_ntz") for d in (start, end))
+        tests.append((at >= first) & (at < after))
+    found = signals.filter(reduce(or_, tests))
+    for day in days:
+        found = found.filter(reduce(or_, [(day >= F.lit(s)) & (day < F.lit(e)) for s, e in ranges]))
+    return found
 
 
 def of_month(signals: DataFrame, as_of: date) -> DataFrame:
     start = as_of.replace(day=1)
-    return signals.filter(_between(start, (start + timedelta(days=32)).replace(day=1)))
+    return _between(signals, (start, (start + timedelta(days=32)).replace(day=1)))
+
+
+def week_ranges(as_of: date) -> list[tuple[date, date]]:
+    """The days of the calendar year with the same ISO week number, as the week string compares.
+
+    That is one week, or two parts of weeks at the two ends of the year.
+    """
+    days = [date(as_of.year, 1, 1) + timedelta(days=n) for n in range(366)]
+    days = [d for d in days if d.year == as_of.year and d.isocalendar().week == as_of.isocalendar().week]
+    starts = [d for d in days if d - timedelta(days=1) not in days]
+    ends = [d + timedelta(days=1) for d in days if d + timedelta(days=1) not in days]
+    return list(zip(starts, ends, strict=True))
 
 
 def of_week(signals: DataFrame, as_of: date) -> DataFrame:
-    """Same calendar year and same ISO week number, as the week string compares."""
-    year = _between(date(as_of.year, 1, 1), date(as_of.year + 1, 1, 1))
-    return signals.filter(year & (F.weekofyear("extracted_at") == as_of.isocalendar().week))
+    return _between(signals, *week_ranges(as_of))
 
 
 def of_day(signals: DataFrame, as_of: date) -> DataFrame:
-    return signals.filter(_between(as_of, as_of + timedelta(days=1)))
+    return _between(signals, (as_of, as_of + timedelta(days=1)))
 
 
 PERIODS = {"month": of_month, "week": of_week, "day": of_day}

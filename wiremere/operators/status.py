@@ -6,15 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wiremere import constants as C
-from wiremere.functions import text
+from wiremere.functions import text, times
 
 SILVER, NOISE, FAILED, RETRY = "silver", "noise", "failed", "retry"
 DONE = [SILVER, NOISE, FAILED]
 
-# Largest number of article keys to broadcast: some 10 MB of ids and dates.
-BROADCAST_KEYS = 100_000
-
-
 def current(log: DataFrame) -> DataFrame:
     """Latest status and error per article. Map tasks reduce an article's rows before the shuffle."""
     fields = [c for c in log.columns if c not in ("bronze_id", "logged_at")]
@@ -28,15 +24,20 @@ def queue_order() -> list[Column]:
     return [F.col("ingested_at").asc_nulls_last(), F.col("id").asc()]
 
 
+def _key(bronze: DataFrame) -> list[str]:
+    """The id and, on a stored table, the partition it lies in."""
+    return [c for c in ("id", "ingest_date") if c in bronze.columns]
+
+
 def backlog(bronze: DataFrame, log: DataFrame, silver: DataFrame | None = None) -> DataFrame:
-    """Articles still to be processed.
+    """Keys and times of the articles still to be processed; no text is read.
 
     An article that reached Silver is done even if a crash kept its status row from being written,
     unless a retry was asked for.
     """
-    state = current(log)
+    state = current(log).select("bronze_id", "status")
     done = state.filter(F.col("status").isin(DONE)).select(F.col("bronze_id").alias("id"))
-    todo = bronze.join(done, "id", "left_anti")
+    todo = bronze.select(*_key(bronze), "ingested_at").join(done, "id", "left_anti")
     if silver is None:
         return todo
     retried = state.filter(F.col("status") == RETRY).select("bronze_id")
@@ -45,30 +46,19 @@ def backlog(bronze: DataFrame, log: DataFrame, silver: DataFrame | None = None)
 
 
 def work_queue(
-    bronze: DataFrame, log: DataFrame, limit: int | None = C.QUEUE_BATCH, silver: DataFrame | None = None
+    bronze: DataFrame, log: DataFrame, limit: int | None = None, silver: DataFrame | None = None
 ) -> DataFrame:
-    """The oldest articles still to be processed; the whole backlog for limit None."""
-    if limit is None:
-        return backlog(bronze, log, silver)
-    todo = backlog(bronze.select(*_key(bronze), "ingested_at"), log, silver)
-    return _head(bronze, todo, queue_order(), limit)
-
-
-def _key(bronze: DataFrame) -> list[str]:
-    """The id and, on a stored table, the partition it lies in."""
-    return [c for c in ("id", "ingest_date") if c in bronze.columns]
+    """Articles still to be processed, in no order: all of them, or the `limit` oldest.
 
+    The choice is made on keys. Texts are then read for the chosen ones, where they lie if the keys
+    are few enough for Spark to send them there, and moved once if not.
+    """
+    todo = backlog(bronze, log, silver)
+    return _rows(bronze, todo if limit is None else todo.orderBy(*queue_order()).limit(limit))
 
-def _head(bronze: DataFrame, keys: DataFrame, order: list[Column], limit: int) -> DataFrame:
-    """The first `limit` of some articles, found by key first.
 
-    Texts are read for the chosen keys only, from the partitions they lie in, and never shuffled.
-    The keys are broadcast up to a fixed number of rows.
-    """
-    chosen = keys.orderBy(*order).limit(limit).select(*_key(bronze))
-    if limit <= BROADCAST_KEYS:
-        chosen = F.broadcast(chosen)
-    return bronze.join(chosen, _key(bronze), "left_semi").orderBy(*order).limit(limit)
+def _rows(bronze: DataFrame, keys: DataFrame) -> DataFrame:
+    return bronze.join(keys.select(*_key(bronze)), _key(bronze), "left_semi")
 
 
 def _failures(log: DataFrame) -> DataFrame:
@@ -76,25 +66,28 @@ def _failures(log: DataFrame) -> DataFrame:
     return failed.select(F.col("bronze_id").alias("id"), F.col("error").alias("processing_error"))
 
 
-def dead_letters(bronze: DataFrame, log: DataFrame) -> DataFrame:
-    """Articles whose latest status is a failure, with a short text preview."""
-    return bronze.join(_failures(log), "id").select(
+def dead_letters(bronze: DataFrame, log: DataFrame, preview_chars: int = C.PREVIEW_CHARS) -> DataFrame:
+    """Articles whose latest status is a failure, with a short preview of the text.
+
+    The preview is cut before the join, so whole texts do not travel.
+    """
+    shown = bronze.select(
         "id",
         "source_name",
         "source_url",
         "title",
-        text.preview(F.col("raw_text")).alias("raw_text_preview"),
+        text.preview(F.col("raw_text"), preview_chars).alias("raw_text_preview"),
         "ingested_at",
-        "processing_error",
     )
+    return shown.join(_failures(log), "id")
 
 
-def dead_letter_page(bronze: DataFrame, log: DataFrame, limit: int = C.DLQ_PAGE) -> DataFrame:
-    """The newest dead letters."""
+def dead_letter_page(bronze: DataFrame, log: DataFrame, limit: int) -> DataFrame:
+    """The newest dead letters, newest first."""
     newest = [F.col("ingested_at").desc_nulls_last(), F.col("id").asc()]
-    failed = bronze.select(*_key(bronze), "ingested_at").join(_failures(log), "id", "left_semi")
-    page = _head(bronze, failed, newest, limit)
-    return dead_letters(page, log).orderBy(*newest).limit(limit)
+    keys = bronze.select(*_key(bronze), "ingested_at").join(_failures(log), "id", "left_semi")
+    page = _rows(bronze, keys.orderBy(*newest).limit(limit))
+    return dead_letters(page, log).orderBy(*newest)
 
 
 def retry(log: DataFrame, ids: DataFrame, at: datetime, run_id: str = "manual") -> DataFrame:
@@ -110,7 +103,7 @@ def entries(outcomes: DataFrame, at: datetime, run_id: str) -> DataFrame:
         "bronze_id",
         F.col("status").cast("string").alias("status"),
         F.col("error").cast("string").alias("error"),
-        F.lit(at).cast("timestamp").alias("logged_at"),
+        times.instant(at).alias("logged_at"),
         F.lit(run_id).alias("run_id"),
     )
 

@@ -23,11 +23,11 @@ SELECT o_orderkey AS seq,
     CASE o_orderpriority
       WHEN '1-URGENT' THEN concat(company, ' acquires a rival for $',
         CAST(CAST(floor(o_totalprice / 400) AS INT) AS VARCHAR(20)), ' million')
-      WHEN '2-HIGH' THEN concat('Hurricane makes landfall; insured loss of $',
-        CAST(o_custkey % 4 AS VARCHAR(20)), '.5 billion for ', company)
+      WHEN '2-HIGH' THEN concat('Hurricane strikes the coast; damage of $',
+        CAST(o_custkey % 4 AS VARCHAR(20)), '.5 billion, ', company, ' bears a part')
       WHEN '3-MEDIUM' THEN CASE WHEN o_custkey % 2 = 0
-        THEN concat(company, ' downgraded to A- by Moody''s')
-        ELSE concat(company, ' outlook changed to Negative by S&P') END
+        THEN concat('Moody''s has downgraded ', company, ' by one notch')
+        ELSE concat('S&P sees a darker outlook for ', company) END
       WHEN '4-NOT SPECIFIED' THEN concat('BaFin licence review of ', company,
         CASE WHEN o_custkey % 2 = 0 THEN ' ends in licence revocation' ELSE ' continues' END)
       ELSE concat('Sports results, week ', CAST(o_custkey % 52 AS VARCHAR(20))) END) END AS raw_text,

@@ -11,12 +11,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wiremere import constants as C
+from wiremere.functions import times
 from wiremere.operators import bronze, extraction, feeds, status
 from wiremere.plans import exports
 from wiremere.plans.lake import Lake
 from wiremere.schemas import ARTICLE
-from wiremere.session import materialise
+from wiremere.session import materialise, run_folder
 from wiremere.sources import registry
 
 log = logging.getLogger(__name__)
@@ -32,7 +32,7 @@ class JobOptions:
     source_options: dict = field(default_factory=dict)
     query: str | None = None
     dry_run: bool = False
-    batch_size: int | None = C.QUEUE_BATCH
+    batch_size: int | None = None
     lenient: bool = False
     as_of: date | None = None
     export_to: str | None = None
@@ -48,11 +48,23 @@ class RunResult:
     bronze_total: int
     silver_total: int
     dlq_total: int
+    rejected: int = 0
 
 
-def fetch(articles: DataFrame) -> DataFrame:
-    """Read a source once and keep what it gave, with the content hash."""
-    return materialise(bronze.with_hash(feeds.accepted(articles)))
+def fetch(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Read a source once and keep what it gave: articles with their content hash, and rejected rows."""
+    given = materialise(feeds.check_contract(articles))
+    good = given.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return bronze.with_hash(good), given.filter(F.col("reject_reason").isNotNull())
+
+
+def store_rejects(lake: Lake, rows: DataFrame, run_at: datetime) -> int:
+    """Store what the contract kept out, with the reason; the number of rows."""
+    count = rows.count()
+    if count:
+        lake.append("rejects", rows.withColumn("rejected_at", times.instant(run_at)))
+        log.warning("%d rows rejected, see the table rejects", count)
+    return count
 
 
 def store(lake: Lake, batch: DataFrame, run_at: datetime) -> tuple[int, int, int]:
@@ -61,8 +73,9 @@ def store(lake: Lake, batch: DataFrame, run_at: datetime) -> tuple[int, int, int
     The new rows are worked out once, so Bronze is looked through once.
     """
     # Sources that know the order of arrival give it; otherwise any fixed order will do.
-    order = ["arrival"] if "arrival" in batch.columns else ARTICLE.names
-    fresh = materialise(bronze.new_rows(batch, lake.bronze(), [F.col(c) for c in order], probe=True))
+    whole = F.sha2(F.to_json(F.struct(*ARTICLE.names)), 256)
+    order = F.col("arrival") if "arrival" in batch.columns else whole
+    fresh = materialise(bronze.new_rows(batch, lake.bronze(), [order], probe=True))
     ingested, inserted = batch.count(), fresh.count()
     if inserted:
         lake.append("bronze", bronze.stamp(fresh, run_at))
@@ -99,19 +112,24 @@ def run_job(
     run_at: datetime | None = None,
 ) -> RunResult:
     """Run once. A source that fails is logged, and the backlog is processed all the same."""
-    options = options or JobOptions()
+    with run_folder(lake.spark):
+        return _run(lake, options or JobOptions(), extract, run_at)
+
+
+def _run(lake: Lake, options: JobOptions, extract: Extractor, run_at: datetime | None) -> RunResult:
     run_at = run_at or datetime.now(UTC)
     run_id = uuid.uuid4().hex
     lake.create()
     wanted = dict(options.source_options, **({"query": options.query} if options.query else {}))
     read = registry.find(options.source)
-    counts = (0, 0, 0)
+    counts, rejected = (0, 0, 0), 0
     try:
-        batch = fetch(read(lake.spark, **wanted))
+        batch, bad = fetch(read(lake.spark, **wanted))
     except (PySparkException, Py4JError) as error:
         log.error("reading %s failed: %s", options.source, error)
     else:
         counts = store(lake, batch, run_at)
+        rejected = store_rejects(lake, bad, run_at)
     outcomes = {}
     if not options.dry_run:
         outcomes = process(lake, extract, options.batch_size, run_at, run_id, options.lenient)
@@ -121,4 +139,4 @@ def run_job(
         exports.export_dashboard(lake.silver(), f"{options.export_to}/dashboard", as_of)
     lake.views()
     stats = lake.stats().first()
-    return RunResult(run_id, *counts, outcomes, *stats)
+    return RunResult(run_id, *counts, outcomes, *stats, rejected)

@@ -16,6 +16,7 @@ TABLES = {
     "bronze": (schemas.BRONZE, "ingest_date", "ingested_at"),
     "silver": (schemas.SILVER, "extracted_date", "extracted_at"),
     "status": (schemas.STATUS, "log_date", "logged_at"),
+    "rejects": (schemas.REJECT, "reject_date", "rejected_at"),
 }
 
 
@@ -51,6 +52,9 @@ class Lake:
     def status(self) -> DataFrame:
         return self.read("status")
 
+    def rejects(self) -> DataFrame:
+        return self.read("rejects")
+
     def append(self, table: str, rows: DataFrame) -> None:
         """Append rows of the table's contract, in one folder per day.
 

@@ -102,15 +102,37 @@ check("keyword_filter", ["feed_entries"], """
 SELECT feed_url, pos FROM feed_entries
 WHERE coalesce(title, 'Untitled') || ' ' || summary ILIKE '%munich re%'""")
 
+SAID = """(link <> '' OR title IS NOT NULL AND title <> '' OR summary <> '' OR content <> '')"""
 check("feed_articles", ["feed_entries"], f"""
 SELECT 'rss::' || coalesce(feed_title, feed_url) AS source_name, link AS source_url,
   headline AS title, body AS raw_text, CAST({META} AS VARCHAR) AS raw_metadata
 FROM (SELECT DISTINCT ON (k) * FROM (
         SELECT *, CASE WHEN link <> '' THEN link ELSE headline END AS k FROM ({RESOLVED}) r
-        QUALIFY row_number() OVER (PARTITION BY feed_url ORDER BY pos) <= 500)
+        QUALIFY row_number() OVER (PARTITION BY feed_url ORDER BY pos) <= 500) WHERE {SAID}
       ORDER BY k, feed_url, pos)
 WHERE headline || ' ' || summary ILIKE '%news 1%' AND body <> ''""")
 
+check("feed_articles_all", ["feed_entries"], f"""
+SELECT 'rss::' || coalesce(feed_title, feed_url) AS source_name, link AS source_url,
+  headline AS title, body AS raw_text, CAST({META} AS VARCHAR) AS raw_metadata
+FROM (SELECT DISTINCT ON (k) * FROM (
+        SELECT *, CASE WHEN link <> '' THEN link ELSE headline END AS k FROM ({RESOLVED}) r)
+      WHERE {SAID} ORDER BY k, feed_url, pos)
+WHERE body <> ''""")
+
+check("feed_rejects", ["feed_entries"], f"""
+SELECT 'rss::' || coalesce(feed_title, feed_url) AS source_name, pos,
+  CASE WHEN pos % 37 = 0 THEN '<item>' || title END AS raw_text,
+  CASE WHEN pos % 37 = 0 AND title IS NOT NULL THEN 'entry is not well-formed'
+    ELSE 'entry has no link, title or text' END AS reject_reason
+FROM feed_entries WHERE pos % 37 = 0 AND title IS NOT NULL OR coalesce({SAID}, FALSE) = FALSE
+UNION ALL
+SELECT 'rss::' || coalesce(feed_title, feed_url), pos, body, 'raw_text is empty'
+FROM (SELECT DISTINCT ON (k) * FROM (
+        SELECT *, CASE WHEN link <> '' THEN link ELSE headline END AS k FROM ({RESOLVED}) r)
+      WHERE {SAID} AND (pos % 37 <> 0 OR title IS NULL) ORDER BY k, feed_url, pos)
+WHERE body = ''""")
+
 check("feed_files", ["news"], f"""
 SELECT coalesce({stripped('source_url')}, '-') AS link, title, {stripped('raw_text')} AS summary,
   strftime(ingested_at, '%Y-%m-%d') AS published, replace(title, ' news ', '|') AS tags,
@@ -120,12 +142,13 @@ check("article_contract", ["news"], f"""
 SELECT seq, source_name, CASE WHEN source_name = '' THEN 'source_name is empty'
   WHEN {stripped('raw_text')} = '' THEN 'raw_text is empty' END AS reject_reason FROM news""")
 
-check("archive_scan", ["news"], f"""
+FOUND_IN_ARCHIVE = f"""
 SELECT seq, source_name, title, raw_text, ingested_at FROM news
 WHERE ingested_at BETWEEN TIMESTAMP '{ARCHIVE_FROM}' AND TIMESTAMP '{ARCHIVE_TO} 23:59:59.999999'
   AND source_name IN ({', '.join(map(text, ARCHIVE_SOURCES))})
-  AND title || ' ' || raw_text ILIKE '%re%'
-ORDER BY ingested_at, seq LIMIT 200""")
+  AND title || ' ' || raw_text ILIKE '%re%'"""
+check("archive_scan", ["news"], f"{FOUND_IN_ARCHIVE} ORDER BY ingested_at, seq LIMIT 200")
+check("archive_scan_all", ["news"], FOUND_IN_ARCHIVE)
 
 check("archive_documents", ["document_articles"], f"""
 SELECT 'archive' AS source_name, 'https://archive.example.com/' || seq AS source_url, title,
@@ -149,10 +172,13 @@ check("content_hash", ["news"], f"SELECT seq, {hashed()} AS content_hash FROM ne
 check("content_hash_articles", BOTH, f"SELECT seq, {hashed()} AS content_hash FROM {ALL_ARTICLES}")
 check("text_preview", ["document_articles"],
       "SELECT seq, left(raw_text, 200) AS preview FROM document_articles")
-check("model_input", BOTH, f"""
-SELECT seq, CASE WHEN title <> '' THEN 'HEADLINE: ' || title || chr(10) || chr(10) ELSE '' END
+PROMPT = """CASE WHEN title <> '' THEN 'HEADLINE: ' || title || chr(10) || chr(10) ELSE '' END
   || CASE WHEN source_url <> '' THEN 'SOURCE URL: ' || source_url || chr(10) || chr(10) ELSE '' END
-  || 'ARTICLE TEXT:' || chr(10) || left(raw_text, 3072) AS model_input FROM {ALL_ARTICLES}""")
+  || 'ARTICLE TEXT:' || chr(10) || """
+check("model_input", BOTH,
+      f"SELECT seq, {PROMPT} left(raw_text, 3072) AS model_input FROM {ALL_ARTICLES}")
+check("model_input_whole", BOTH,
+      f"SELECT seq, md5({PROMPT} raw_text) AS model_input_md5 FROM {ALL_ARTICLES}")
 
 for _name, _table, _key, _at in [
     ("date_buckets", "signals", "id", "extracted_at"),
@@ -176,7 +202,7 @@ SELECT id, {SCORE} AS sentiment_score, {label('signal_category')} AS category_la
 
 ORACLES["bronze_insert_ignore"] = chain(["news"], HASHES, """
 SELECT left(sha256('bronze|' || content_hash), 32) AS id, content_hash, source_name, source_url,
-  title, raw_text FROM fresh""")
+  title, raw_text, TIMESTAMP '2024-02-01 00:00:00' AS ingested_at FROM fresh""")
 ORACLES["bronze_insert_probe"] = chain(["news"], HASHES, "SELECT seq, content_hash FROM fresh")
 check("articles_dedup", BOTH, f"""
 SELECT DISTINCT ON (content_hash) seq, source_name, content_hash
@@ -210,7 +236,8 @@ SELECT n.id, n.title, s.error AS processing_error
 FROM news n JOIN state s ON s.bronze_id = n.id AND s.status = 'failed'
 ORDER BY n.ingested_at DESC NULLS LAST, n.id LIMIT 50""")
 ORACLES["dlq_retry"] = chain(NEWS_LOG, STATE, """
-SELECT bronze_id, 'retry' AS status, CAST(NULL AS VARCHAR) AS error, 'manual' AS run_id
+SELECT bronze_id, 'retry' AS status, CAST(NULL AS VARCHAR) AS error, 'manual' AS run_id,
+  TIMESTAMP '2024-02-01 00:00:00' AS logged_at
 FROM state WHERE status = 'failed'
   AND bronze_id IN (SELECT id FROM news WHERE source_name = 'rss::feed2')""")
 ORACLES["backlog_after_retry"] = chain(NEWS_LOG, STATE, """
@@ -262,9 +289,10 @@ ACTION = rf"""(
      AND usd >= 500000000)
   OR (regexp_matches(lower(raw_text), '\b(hurricane|earthquake|flood|wildfire|pandemic)')
      AND usd >= 1000000000)
-  OR (regexp_matches(lower(raw_text), '\b(lloyd''s|bafin|finma|iais)\b')
+  OR (({any_word('raw_text', COMPANIES)} OR regexp_matches(lower(raw_text), '\b(reinsurer|syndicate)\b'))
+     AND regexp_matches(lower(raw_text), '\b(lloyd''s|bafin|finma|iais)\b')
      AND regexp_matches(lower(raw_text), '\b(sanction|suspend|revoke|revocation|intervention)'))
-  OR (regexp_matches(lower(raw_text), '\bdowngraded?\b')
+  OR ({any_word('raw_text', COMPANIES)} AND regexp_matches(lower(raw_text), '\bdowngraded?\b')
      AND regexp_matches(lower(raw_text), '\b(moody''s|s&p|fitch|am best)\b')))
   AND NOT regexp_matches(lower(raw_text), '\b(reportedly|rumoured|expected|may|could)\b')"""
 NEWS_ACTION = f"SELECT *, {ACTION} AS action_rule FROM (SELECT *, {USD} AS usd FROM news)"
@@ -309,7 +337,7 @@ SELECT *, CASE WHEN NOT ok THEN 'payload is not a JSON object'
 FROM ({TYPED})"""
 ROUTED = f"""
 SELECT *, CASE WHEN violations <> '' THEN 'failed' WHEN is_relevant THEN 'silver' ELSE 'noise' END AS outcome,
-  CASE WHEN violations <> '' THEN left('Signal extraction failed: ' || violations, 500) END AS error
+  CASE WHEN violations <> '' THEN 'Signal extraction failed: ' || violations END AS error
 FROM ({VIOLATIONS})"""
 
 check("parse_payload", ["payloads"], f"""
@@ -328,7 +356,8 @@ SELECT left(sha256('silver|' || r.bronze_id), 32) AS id, r.bronze_id, n.source_n
   n.title, r.signal_category, r.summary,
   CAST(json_extract(r.j, '$.key_entities') AS VARCHAR) AS key_entities,
   coalesce(r.sentiment, 'NEUTRAL') AS sentiment, CAST(r.confidence_score AS FLOAT) AS confidence_score,
-  r.action_required, 'replay' AS llm_model, r.payload AS raw_llm_response
+  r.action_required, TIMESTAMP '2024-02-01 00:00:00' AS extracted_at, 'replay' AS llm_model,
+  r.payload AS raw_llm_response
 FROM ({ROUTED}) r, news n WHERE n.id = r.bronze_id AND r.outcome = 'silver'""")
 check("lineage", ["news", "payloads"], f"""
 SELECT r.bronze_id, r.signal_category, 'replay' AS llm_model, r.payload AS raw_llm_response,
@@ -338,10 +367,13 @@ FROM ({ROUTED}) r, news n WHERE n.id = r.bronze_id AND r.outcome = 'silver'""")
 FOUND = ", ".join(
     f"CASE WHEN {word('raw_text', n)} THEN {text(n)} END" for n in COMPANIES
 )
+GOOD, BAD = any_word("raw_text", C.POSITIVE_WORDS), any_word("raw_text", C.NEGATIVE_WORDS)
+MOOD = f"CASE WHEN {GOOD} AND {BAD} THEN 'MIXED' WHEN {GOOD} THEN 'POSITIVE' WHEN {BAD} THEN 'NEGATIVE' ELSE 'NEUTRAL' END"
 check("extract_lexicon", ["news"], f"""
 SELECT id AS bronze_id, CASE WHEN is_relevant THEN 'silver' ELSE 'noise' END AS outcome,
   signal_category, CASE WHEN is_relevant THEN title END AS summary,
   array_to_string([n for n in [{FOUND}] if n IS NOT NULL], '|') AS key_entities,
+  CASE WHEN is_relevant THEN {MOOD} END AS sentiment,
   is_relevant AND action_rule AND confidence >= 0.70 AS action_required
 FROM ({classified(C.LEXICON, f"({NEWS_ACTION})")})""")
 
@@ -357,10 +389,9 @@ FROM (SELECT id, concat(title, source_url, raw_text) AS body FROM news)""")
 check("signal_to_noise", [], f"""
 WITH c AS (
   SELECT count(*) AS n, CAST(sum(CAST(quality = 1 AS INT)) AS BIGINT) AS r,
-    CAST(sum(CAST(long AS INT)) AS BIGINT) AS kept,
-    CAST(sum(CAST(long AND quality = 1 AS INT)) AS BIGINT) AS hit
-  FROM (SELECT quality, length({stripped('text')}) >= 200 AS long
-        FROM documents JOIN labels USING (doc_id))),
+    CAST(sum(CAST(is_relevant AS INT)) AS BIGINT) AS kept,
+    CAST(sum(CAST(is_relevant AND quality = 1 AS INT)) AS BIGINT) AS hit
+  FROM ({classified(TEST_LEXICON, "(SELECT *, text AS raw_text FROM documents JOIN labels USING (doc_id))")})),
 p AS (SELECT *, hit::DOUBLE / kept AS p FROM c)
 SELECT n AS articles, r AS relevant, kept AS predicted, round(p, 6) AS precision,
   round(hit::DOUBLE / r, 6) AS recall, round(r::DOUBLE / n, 6) AS sn_before,
@@ -462,8 +493,9 @@ MATRIX = """count(*) AS count, round(avg({score}), 6) AS avg_sent,
 ORACLES["broker_matrix"] = ORACLES["broker_matrix_star"] = chain(S, MENTIONS, f"""
 SELECT entity_name AS entity, {MATRIX.format(score='score')} FROM ({JOINED})
 WHERE entity_type = 'Broker' GROUP BY ALL""")
-check("broker_matrix_by_title", S, f"""
-SELECT left(title, 30) AS entity, {MATRIX.format(score=SCORE)} FROM signals
+for _name, _entity in {"": "left(title, 30)", "whole_": "title"}.items():
+    check(f"broker_matrix_by_{_name}title", S, f"""
+SELECT {_entity} AS entity, {MATRIX.format(score=SCORE)} FROM signals
 WHERE signal_category = 'Broker_Dynamics' AND title IS NOT NULL GROUP BY ALL""")
 ORACLES["dim_entities"] = chain(S, MENTIONS, "SELECT * FROM mention")
 
@@ -494,11 +526,14 @@ WHERE signal_category = 'Emerging_Risks' ORDER BY {NEWEST} LIMIT 10""")
 check("action_items", S, """
 SELECT id, title, signal_category, summary, source_url FROM signals WHERE action_required""")
 for _period, _test in {
-    "month": "year_month = '2024-01'",
-    "week": "year_week = '2024-W05'",
-    "day": "day = '2024-01-30'",
+    "month": "strftime(ingested_at, '%Y-%m') = '1996-12'",
+    "week": "strftime(ingested_at, '%Y-W%V') = '1996-W01'",
+    "day": "strftime(ingested_at, '%Y-%m-%d') = '1996-12-30'",
 }.items():
-    check(f"timeline_{_period}", S, f"SELECT {NEWS_COLUMNS} FROM ({DERIVED}) WHERE {_test}")
+    check(f"timeline_{_period}", ["news"], f"""
+SELECT id, strftime(ingested_at, '%Y-%m-%d') AS day, 'Emerging Risks' AS category_label, title,
+  left(raw_text, 200) AS summary, 'NEUTRAL' AS sentiment, seq % 2 = 0 AS action, source_url
+FROM news WHERE {_test}""")
 
 # ---- whole runs ----
 
@@ -513,7 +548,7 @@ SELECT left(sha256('silver|' || bronze_id), 32) AS id, * FROM (
   SELECT left(sha256('bronze|' || content_hash), 32) AS bronze_id, source_name, source_url, title,
     signal_category, title AS summary,
     CAST(to_json([n for n in [{FOUND}] if n IS NOT NULL]) AS VARCHAR) AS key_entities,
-    'NEUTRAL' AS sentiment, action_rule AND confidence >= 0.70 AS action_required,
+    {MOOD} AS sentiment, action_rule AND confidence >= 0.70 AS action_required,
     'lexicon-1' AS llm_model
   FROM ({JUDGED}) WHERE is_relevant)""")
 

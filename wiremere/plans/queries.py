@@ -23,7 +23,7 @@ from wiremere.streaming import ingest as ingest_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the queries.
-AS_OF = date(2024, 1, 30)
+TIMELINE_OF = date(1996, 12, 30)  # its week has days at both ends of the year
 WEEKS = ["2024-W01", "2024-W02", "2024-W03", "2024-W04", "2024-W05"]
 RUN_AT = datetime(2024, 2, 1)
 STORED_BEFORE = "1998-01-01"
@@ -54,11 +54,17 @@ def six(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def naive(df: DataFrame, column: str) -> DataFrame:
+    """A point in time as UTC clock time, which does not change with the reader's zone."""
+    local = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(column).cast("timestamp_ntz"))
+    return df.withColumn(column, local)
+
+
 # ---- feeds and sources ----
 
 @over("feed_entries")
 def feed_cap(entries):
-    return feeds.cap_entries(entries).select("feed_url", "pos", "title")
+    return feeds.cap_entries(entries, C.USUAL_FEED_ENTRIES).select("feed_url", "pos", "title")
 
 
 @over("feed_entries")
@@ -88,7 +94,20 @@ def keyword_filter(entries):
 
 @over("feed_entries")
 def feed_articles(entries):
-    return feeds.to_articles(entries, "news 1", 500).drop("arrival")
+    return feeds.accepted(feeds.to_articles(entries, "news 1", 500)).drop("arrival")
+
+
+@over("feed_entries")
+def feed_articles_all(entries):
+    return feeds.accepted(feeds.to_articles(entries)).drop("arrival")
+
+
+@over("feed_entries")
+def feed_rejects(entries):
+    """Entries that are empty, malformed or without text."""
+    broken = F.when(F.col("pos") % 37 == 0, F.concat(F.lit("<item>"), "title"))
+    rejected = feeds.rejected(feeds.to_articles(entries.withColumn("malformed", broken)))
+    return rejected.select("source_name", F.col("arrival.pos").alias("pos"), "raw_text", "reject_reason")
 
 
 @over("news")
@@ -122,11 +141,17 @@ def article_contract(news):
 @over("news")
 def archive_scan(news):
     found = archive.scan(
-        news, "re", ARCHIVE_FROM, ARCHIVE_TO, ARCHIVE_SOURCES, tiebreak="seq"
+        news, "re", ARCHIVE_FROM, ARCHIVE_TO, ARCHIVE_SOURCES, C.USUAL_RESULTS, tiebreak="seq"
     )
     return found.select("seq", "source_name", "title", "raw_text", "ingested_at")
 
 
+@over("news")
+def archive_scan_all(news):
+    found = archive.scan(news, "re", ARCHIVE_FROM, ARCHIVE_TO, ARCHIVE_SOURCES)
+    return found.select("seq", "source_name", "title", "raw_text", "ingested_at")
+
+
 @over("document_articles")
 def archive_documents(articles):
     found = articles.select(
@@ -139,7 +164,7 @@ def archive_documents(articles):
         ).alias("Source"),
         F.struct(F.col("raw_text").alias("Content")).alias("Document"),
     )
-    return archive.normalise(found).select(
+    return feeds.accepted(archive.normalise(found)).select(
         "source_name", "source_url", "title", F.md5("raw_text").alias("text_md5"), "raw_metadata"
     )
 
@@ -182,10 +207,17 @@ def text_preview(docs):
 
 @over("document_articles", "page_articles")
 def model_input(docs, pages):
-    prompt = text.model_input(F.col("raw_text"), F.col("title"), F.col("source_url"))
+    columns = [F.col(c) for c in ("raw_text", "title", "source_url")]
+    prompt = text.model_input(*columns, C.USUAL_INPUT_CHARS)
     return feeds.union_sources(docs, pages).select("seq", prompt.alias("model_input"))
 
 
+@over("document_articles", "page_articles")
+def model_input_whole(docs, pages):
+    prompt = text.model_input(F.col("raw_text"), F.col("title"), F.col("source_url"))
+    return feeds.union_sources(docs, pages).select("seq", F.md5(prompt).alias("model_input_md5"))
+
+
 @over("signals")
 def date_buckets(signals):
     return _dates(signals, F.col("id"), F.col("extracted_at"))
@@ -241,7 +273,7 @@ def _stored_and_batch(news: DataFrame) -> tuple[DataFrame, DataFrame]:
 def bronze_insert_ignore(news):
     stored, batch = _stored_and_batch(news)
     fresh = bronze.new_rows(batch, stored, [F.col("seq")])
-    return bronze.stamp(fresh, RUN_AT).drop("ingested_at", "raw_metadata")
+    return naive(bronze.stamp(fresh, RUN_AT).drop("raw_metadata"), "ingested_at")
 
 
 @over("news")
@@ -278,12 +310,13 @@ def status_current(log):
 
 @over("news", "status_log")
 def work_queue(news, log):
-    return status.work_queue(news, log).select("id", "source_name", "title", "ingested_at")
+    queue = status.work_queue(news, log, C.USUAL_BATCH)
+    return queue.select("id", "source_name", "title", "ingested_at")
 
 
 @over("news", "status_log")
 def backlog(news, log):
-    return status.work_queue(news, log, None).select("id", "ingested_at")
+    return status.work_queue(news, log).select("id", "ingested_at")
 
 
 @over("news", "status_log")
@@ -293,13 +326,14 @@ def dead_letter_queue(news, log):
 
 @over("news", "status_log")
 def dead_letter_page(news, log):
-    return status.dead_letter_page(news, log).select("id", "title", "processing_error")
+    page = status.dead_letter_page(news, log, C.USUAL_PAGE)
+    return page.select("id", "title", "processing_error")
 
 
 @over("news", "status_log")
 def dlq_retry(news, log):
     wanted = news.filter(F.col("source_name") == "rss::feed2").select(F.col("id").alias("bronze_id"))
-    return status.retry(log, wanted, RUN_AT).select("bronze_id", "status", "error", "run_id")
+    return naive(status.retry(log, wanted, RUN_AT), "logged_at")
 
 
 @over("news", "status_log")
@@ -309,7 +343,7 @@ def backlog_after_retry(news, log):
         log.withColumns({"logged_at": F.col("logged_at").cast("timestamp"), "run_id": F.lit("-")}),
         status.retry(log, ids, RUN_AT),
     )
-    return status.work_queue(news, after, None).select("id")
+    return status.work_queue(news, after).select("id")
 
 
 # ---- extraction ----
@@ -387,7 +421,7 @@ def _extracted(news: DataFrame, replies: DataFrame) -> DataFrame:
 
 @over("news", "payloads")
 def silver_rows(news, replies):
-    return extraction.silver_rows(_extracted(news, replies), RUN_AT).drop("extracted_at")
+    return naive(extraction.silver_rows(_extracted(news, replies), RUN_AT), "extracted_at")
 
 
 @over("payloads")
@@ -401,14 +435,7 @@ def noise_records(replies):
 @over("news", "payloads")
 def lineage(news, replies):
     silver = extraction.silver_rows(_extracted(news, replies), RUN_AT)
-    source = news.select(
-        F.col("id").alias("bronze_id"),
-        F.md5("raw_text").alias("text_md5"),
-        "ingested_at",
-    )
-    return silver.join(source, "bronze_id").select(
-        "bronze_id", "signal_category", "llm_model", "raw_llm_response", "text_md5", "ingested_at"
-    )
+    return extraction.lineage(silver, news)
 
 
 @over("news")
@@ -420,6 +447,7 @@ def extract_lexicon(news):
         "signal_category",
         "summary",
         F.array_join("key_entities", "|").alias("key_entities"),
+        "sentiment",
         "action_required",
     )
 
@@ -453,13 +481,11 @@ def extract_model(news):
 
 
 def signal_to_noise(spark: SparkSession, sf: str) -> DataFrame:
-    scored = (
-        table(spark, sf, "documents")
-        .join(table(spark, sf, "labels"), "doc_id")
-        .select(
-            (F.col("quality") == 1).alias("relevant"),
-            (F.length(text.strip(F.col("text"))) >= 200).alias("predicted"),
-        )
+    """How well the keyword classifier finds the documents that are labelled good."""
+    docs = table(spark, sf, "documents").withColumnRenamed("text", "raw_text")
+    found = extraction.classify(docs, lexicon=TEST_LEXICON)
+    scored = found.join(table(spark, sf, "labels"), "doc_id").select(
+        (F.col("quality") == 1).alias("relevant"), F.col("is_relevant").alias("predicted")
     )
     columns = ["precision", "recall", "sn_before", "sn_after"]
     return six(extraction.signal_to_noise(scored), *columns)
@@ -605,6 +631,11 @@ def broker_matrix_star(signals):
 
 @over("signals")
 def broker_matrix_by_title(signals):
+    return six(entities.broker_matrix_by_title(sig.enrich(signals), C.USUAL_TITLE_CHARS), "avg_sent")
+
+
+@over("signals")
+def broker_matrix_by_whole_title(signals):
     return six(entities.broker_matrix_by_title(sig.enrich(signals)), "avg_sent")
 
 
@@ -634,7 +665,7 @@ def intelligence_feed(signals):
 
 @over("signals")
 def news_table(signals):
-    return sig.news_table(sig.enrich(signals))
+    return sig.news_table(sig.enrich(signals), C.USUAL_PAGE)
 
 
 @over("signals")
@@ -644,7 +675,7 @@ def category_feed(signals):
 
 @over("signals")
 def latest_risks(signals):
-    return sig.latest_in_category(signals, C.RISK)
+    return sig.latest_in_category(signals, C.RISK, C.USUAL_LATEST)
 
 
 @over("signals")
@@ -653,9 +684,20 @@ def action_items(signals):
 
 
 def _period(name: str) -> None:
-    @over("signals", key=f"timeline_{name}")
-    def run(signals):
-        return sig.news_rows(sig.enrich(sig.timeline(signals, name, AS_OF)))
+    @over("news", key=f"timeline_{name}")
+    def run(news):
+        signals = news.select(
+            "id",
+            "title",
+            "source_url",
+            F.lit(C.RISK).alias("signal_category"),
+            F.col("raw_text").alias("summary"),
+            F.lit("NEUTRAL").alias("sentiment"),
+            (F.col("seq") % 2 == 0).alias("action_required"),
+            F.col("ingested_at").alias("extracted_at"),
+            F.to_date("ingested_at").alias("extracted_date"),
+        )
+        return sig.news_rows(sig.enrich(sig.timeline(signals, name, TIMELINE_OF)))
 
 
 for _name in sig.PERIODS:
@@ -669,8 +711,12 @@ def whole_run(news):
     """Silver after one run over all news: ingest, dedup, extraction, routing, status."""
     spark = news.sparkSession
     lake = Lake(spark, scratch(spark, "lake"))
-    registry.register("news", lambda spark: news.withColumn("arrival", F.col("seq")))
-    run_job(lake, JobOptions(source="news", batch_size=None), run_at=RUN_AT)
+    name = f"news-{lake.root}"
+    registry.register(name, lambda spark: news.withColumn("arrival", F.col("seq")))
+    try:
+        run_job(lake, JobOptions(source=name), run_at=RUN_AT)
+    finally:
+        registry.SOURCES.pop(name.lower())
     return lake.silver().select(
         "id", "bronze_id", "source_name", "source_url", "title", "signal_category", "summary",
         "key_entities", "sentiment", "action_required", "llm_model",

@@ -24,6 +24,16 @@ BRONZE = _fields(
     ingested_at=TIME,
 )
 
+REJECT = _fields(
+    source_name=TEXT,
+    source_url=TEXT,
+    title=TEXT,
+    raw_text=TEXT,
+    raw_metadata=TEXT,
+    reject_reason=TEXT,
+    rejected_at=TIME,
+)
+
 STATUS = _fields(bronze_id=TEXT, status=TEXT, error=TEXT, logged_at=TIME, run_id=TEXT)
 
 SILVER = _fields(

@@ -4,6 +4,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 from pathlib import Path
 
@@ -43,13 +46,37 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a fresh local one only where that is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    """The folder named by spark.checkpoint.dir, which all executors share.
+
+    A fresh local folder stands in for it where driver and executors are one process.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        return _own_dir()
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A path of its own under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path of its own under the shared folder, or under the running job's part of it."""
+    return f"{_run_folder.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """One folder for all scratch tables of a run, removed at its end."""
+    folder = scratch(spark, "run")
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

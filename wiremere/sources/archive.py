@@ -5,7 +5,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremere import constants as C
 from wiremere.functions import documents, text
 from wiremere.operators import feeds
 from wiremere.schemas import ARCHIVE_DOCUMENT
@@ -19,14 +18,14 @@ def scan(
     date_from: str | None = None,
     date_to: str | None = None,
     sources: Sequence[str] | None = None,
-    max_results: int | None = C.MAX_ARCHIVE_RESULTS,
+    max_results: int | None = None,
     date_column: str = "ingested_at",
     source_column: str = "source_name",
     tiebreak: str = "id",
 ) -> DataFrame:
     """Articles in a date range (both days included), of some sources, holding a phrase.
 
-    Date and source tests reach the Parquet scan. The cap keeps the oldest.
+    Date and source tests reach the Parquet scan. `max_results`, where given, keeps the oldest.
     """
     found = articles
     if date_from is not None:
@@ -34,6 +33,11 @@ def scan(
     if date_to is not None:
         end = F.lit(date_to).cast("date") + F.expr("INTERVAL 1 DAY")
         found = found.filter(F.col(date_column) < end.cast("timestamp_ntz"))
+    if "ingest_date" in found.columns and date_column == "ingested_at":  # whole partitions of a stored table
+        if date_from is not None:
+            found = found.filter(F.col("ingest_date") >= F.lit(date_from).cast("date"))
+        if date_to is not None:
+            found = found.filter(F.col("ingest_date") <= F.lit(date_to).cast("date"))
     if sources is not None:
         found = found.filter(F.col(source_column).isin(list(sources)))
     if query:
@@ -44,11 +48,11 @@ def scan(
 
 
 def normalise(found: DataFrame, source_name: str = ARCHIVE_NAME) -> DataFrame:
-    """Search documents as articles that keep the contract."""
+    """Search documents as articles, with the reason to reject them, if any."""
     metadata = documents.archive_metadata(
         F.col("Source.Id"), F.col("Source.Name"), F.col("Date"), F.col("DocumentType")
     )
-    return feeds.accepted(
+    return feeds.check_contract(
         found.select(
             F.lit(source_name).alias("source_name"),
             F.col("ResultUrl").alias("source_url"),
@@ -67,7 +71,7 @@ def read_archive(
     date_from: str | None = None,
     date_to: str | None = None,
     sources: Sequence[str] | None = None,
-    max_results: int | None = C.MAX_ARCHIVE_RESULTS,
+    max_results: int | None = None,
 ) -> DataFrame:
     """Articles of landed search replies, one JSON document a line.
 

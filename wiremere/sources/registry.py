@@ -5,16 +5,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource
 
-from wiremere import constants as C
 from wiremere.operators import feeds
 from wiremere.session import ship_package
 from wiremere.sources.archive import read_archive
-from wiremere.sources.feeds import read_feed
-from wiremere.sources.wire import FeedDataSource
+from wiremere.sources.feeds import read_feed, read_wire
 
 Source = Callable[..., DataFrame]
 
-SOURCES: dict[str, Source] = {"rss": read_feed, "archive": read_archive}
+SOURCES: dict[str, Source] = {"rss": read_feed, "wire": read_wire, "archive": read_archive}
 
 
 def register(name: str, source: Source | type[DataSource]) -> None:
@@ -32,18 +30,6 @@ def load(spark: SparkSession, source: type[DataSource], **options: str) -> DataF
     return spark.read.format(source.name()).options(**options).load()
 
 
-def read_wire(
-    spark: SparkSession,
-    path: str,
-    query: str | None = None,
-    max_entries: int = C.MAX_ENTRIES_PER_FEED,
-) -> DataFrame:
-    return feeds.to_articles(load(spark, FeedDataSource, path=path), query, max_entries)
-
-
-register("wire", read_wire)
-
-
 def find(name: str) -> Source:
     """The source registered under a name, in any case."""
     reader = SOURCES.get(name.lower())
@@ -53,5 +39,5 @@ def find(name: str) -> Source:
 
 
 def source(spark: SparkSession, name: str, **options) -> DataFrame:
-    """The articles of a registered source."""
-    return find(name)(spark, **options)
+    """The articles of a registered source that keep the contract."""
+    return feeds.accepted(find(name)(spark, **options))
