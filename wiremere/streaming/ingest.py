@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wiremere.operators import bronze, feeds
 from wiremere.plans.lake import Lake
+from wiremere.session import run_folder
 
 
 def bronze_writer(
@@ -19,9 +20,10 @@ def bronze_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         hashed = bronze.with_hash(feeds.accepted(batch)).persist()
         try:
-            order = [F.col(c) for c in arrival]
-            fresh = bronze.new_rows(hashed, lake.bronze(), order, probe=True)
-            lake.append("bronze", bronze.stamp(fresh, clock()))
+            with run_folder(batch.sparkSession):
+                order = [F.col(c) for c in arrival]
+                fresh = bronze.new_rows(hashed, lake.bronze(), order, probe=True)
+                lake.append("bronze", bronze.stamp(fresh, clock()))
         finally:
             hashed.unpersist()
 
