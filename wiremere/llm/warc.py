@@ -26,8 +26,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremere.llm.tables import stored
-from wiremere.session import scratch, ship_package
+from wiremere.llm.tables import prepare, stored
+from wiremere.session import scratch
 
 MIN_REVISIT = 100
 GAP = 1 << 16  # bytes that are cheaper to read over than to request anew
@@ -94,7 +94,7 @@ def qualified(spark: SparkSession, folder: str) -> str:
 def write(pages: DataFrame, folder: str | None = None, date: str | None = None) -> DataFrame:
     """Write archives of pages (page_id, url, html) to a shared folder; the stored index."""
     spark = pages.sparkSession
-    ship_package(spark)
+    prepare(spark)
     folder = qualified(spark, folder or scratch(spark, "warc"))
     date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
@@ -172,7 +172,7 @@ def _row(member: bytes) -> dict:
 
 def read(index: DataFrame) -> DataFrame:
     """Records of the selected index rows; `intact` tells whether the payload has its digest."""
-    ship_package(index.sparkSession)
+    prepare(index.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, now, handle = None, None, None
@@ -195,7 +195,9 @@ def read(index: DataFrame) -> DataFrame:
                 at = upto
 
     span = F.floor(F.col("offset") / F.lit(RANGE))
-    dealt = index.select("file", "offset", "length", span.alias("span")).repartition("file", "span")
+    # A given number of partitions: by their size, index rows would all be merged into a few tasks.
+    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = index.select("file", "offset", "length", span.alias("span")).repartition(parts, "file", "span")
     return dealt.sortWithinPartitions("file", "offset").select("file", "offset", "length").mapInArrow(run, RECORDS)
 
 
