@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wiremere.llm import words
-from wiremere.session import ship_package
+from wiremere.llm.tables import prepare
 
 CACHED_WORDS = 400_000
 SIDE_BY_SIDE = 64  # longest pre-token that is merged in arrays with others
@@ -281,7 +281,7 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None, decod
     With `decoded`, also the text that these ids decode to. Other columns go through unchanged.
     """
     path = path or vocabulary_path()
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("ids", "decoded")]
     extra = ", decoded string" if decoded else ""
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", ids binary" + extra
@@ -299,7 +299,7 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None, decod
 def decode(docs: DataFrame, column: str = "ids", path: str | None = None) -> DataFrame:
     """docs with `decoded`, the text of a column of ids; a null stays null."""
     path = path or vocabulary_path()
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     @F.pandas_udf("string")
     def text(ids):

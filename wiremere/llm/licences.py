@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wiremere.llm import words
-from wiremere.session import ship_package
+from wiremere.llm.tables import prepare
 
 
 @dataclass(frozen=True)
@@ -154,7 +154,7 @@ _MATCHES = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64()), ("s
 
 def scan(docs: DataFrame, templates: list[Template] | None = None, idf: dict[str, float] | None = None) -> DataFrame:
     """docs with n_words and matches (label, first word of its key phrase, score, base), by place."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     templates = templates or TEMPLATES
     index = Index(templates, idf or inverse_frequencies(docs, templates))
     kept = [c for c in docs.columns if c not in ("n_words", "matches")]

@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wiremere.llm import words
-from wiremere.llm.tables import components, stored
-from wiremere.session import ship_package
+from wiremere.llm.tables import components, prepare, stored
 
 WIDTH = 5
 THRESHOLD = 75  # hundredths of the Jaccard similarity
@@ -218,7 +217,7 @@ def _late_links(apart: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept per row of docs (doc_id, text)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     table = stored(features(docs))
     classes = table.filter("set_key is not null and doc_id is not null")
     classes = stored(classes.groupBy("set_key").agg(F.min("doc_id").alias("rep")))

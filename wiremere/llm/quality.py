@@ -18,8 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wiremere.llm import words
-from wiremere.llm.tables import stored
-from wiremere.session import ship_package
+from wiremere.llm.tables import prepare, stored
 
 FEATURES = 192
 BANDWIDTH = 3.0
@@ -144,7 +143,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and statistics x, stored: texts are read once."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return stored(texts.mapInArrow(_statistics, "doc_id long, x array<float>"))
 

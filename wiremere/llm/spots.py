@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wiremere.llm import words
-from wiremere.llm.tables import stored
-from wiremere.session import ship_package
+from wiremere.llm.tables import prepare, stored
 
 CHAIN = 3
 STEP = 1
@@ -94,7 +93,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """docs with `fingerprint`, in place of a column of that name."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     @F.pandas_udf("string")
     def of(texts):
@@ -119,7 +118,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     for batch in batches:
-        for start, end in words.slices(batch.column(3), 1 << 20):
+        for start, end in words.slices(batch.column(3), 1 << 19):
             part = batch.slice(start, end - start)
             rows = carry + list(zip(*[c.to_pylist() for c in part.columns]))
             carry = rows[-1:]
@@ -157,7 +156,7 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
     first row of every range is copied to the end of the range before it.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     least = -(1 << 63)
     rows = rows.withColumns({"key": F.coalesce("doc_id", F.lit(least)), "h": F.xxhash64("text")})

@@ -1,9 +1,21 @@
-"""Stored intermediate tables and connected components, shared by the operators."""
+"""Stored intermediate tables, Python settings and connected components, shared by the operators."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremere.session import materialise
+from wiremere.session import materialise, ship_package
+
+# Rows of an Arrow batch. Texts may be long, and a batch is held whole on both sides.
+BATCH_ROWS = "1000"
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the executors and keep Arrow batches small, unless they are smaller already."""
+    ship_package(spark)
+    now = int(spark.conf.get(BATCH_SETTING))
+    if not 0 < now <= int(BATCH_ROWS):
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
 def stored(df: DataFrame) -> DataFrame:

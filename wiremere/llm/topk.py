@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wiremere.llm.tables import stored
-from wiremere.session import ship_package
+from wiremere.llm.tables import prepare, stored
 
 SCALE = 1024
 EVERY = 100
 K = 10
 RANGE_ROWS = 8192
 BLOCK_ROWS = 256
+BLOCK_BYTES = 1 << 17  # a block of long vectors has fewer rows
 CHUNK_ROWS = 512
 LEAST, MOST = -(1 << 63), (1 << 63) - 1  # larger scores are given as these
 
@@ -46,9 +46,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition, sorted by id, as rows of BLOCK_ROWS vectors: ids, matrix, term minima and maxima."""
-    rest = None
+def _packed(most_rows: int, most_bytes: int):
+    """A partition, sorted by id, as blocks of vectors: ids, matrix, term minima and maxima."""
 
     def row(table: pa.Table) -> pa.RecordBatch:
         ids = table.column("vec_id").to_numpy()
@@ -59,14 +58,21 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["part", "ids", "matrix", "least", "most"],
         )
 
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        rest = table if rest is None else pa.concat_tables([rest, table])
-        while rest.num_rows >= BLOCK_ROWS:
-            yield row(rest.slice(0, BLOCK_ROWS))
-            rest = rest.slice(BLOCK_ROWS)
-    if rest is not None and rest.num_rows:
-        yield row(rest)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, n = None, most_rows
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            rest = table if rest is None else pa.concat_tables([rest, table])
+            n = max(1, min(most_rows, most_bytes // (8 * len(batch.column("terms")[0]))))
+            while rest.num_rows >= n:
+                yield row(rest.slice(0, n))
+                rest = rest.slice(n)
+        if rest is not None and rest.num_rows:
+            yield row(rest)
+
+    return run
 
 
 PACKED = "part int, ids binary, matrix binary, least binary, most binary"
@@ -138,7 +144,7 @@ def _searched(k: int):
 
 def top_k(vectors: DataFrame, every: int = EVERY, k: int = K, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other rows for each vec_id divisible by `every`."""
-    ship_package(vectors.sparkSession)
+    prepare(vectors.sparkSession)
     table = stored(terms(vectors, scale=scale))
     counts = table.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.min(F.struct("vec_id", F.size("terms"))).alias("s")).first()
     if not counts[1]:
@@ -146,12 +152,12 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = K, scale: int = SCALE
     table = table.filter(F.size("terms") == counts[2][1])
     ranges, chunks = -(-counts[0] // RANGE_ROWS), -(-counts[1] // CHUNK_ROWS)
 
-    def packed(rows: DataFrame, n: int) -> DataFrame:
+    def packed(rows: DataFrame, n: int, most_rows: int, most_bytes: int) -> DataFrame:
         parts = rows.repartitionByRange(n, "vec_id").sortWithinPartitions("vec_id")
-        return stored(parts.withColumn("part", F.spark_partition_id()).mapInArrow(_packed, PACKED))
+        return stored(parts.withColumn("part", F.spark_partition_id()).mapInArrow(_packed(most_rows, most_bytes), PACKED))
 
-    index = packed(table, ranges)
-    asked = packed(table.filter(F.col("vec_id") % every == 0), chunks)
+    index = packed(table, ranges, BLOCK_ROWS, BLOCK_BYTES)
+    asked = packed(table.filter(F.col("vec_id") % every == 0), chunks, CHUNK_ROWS, 8 * BLOCK_BYTES)
     # Chunks get numbers of their own: a partition may hold several packed rows.
     asked = stored(asked.withColumn("chunk", F.monotonically_increasing_id()))
     parts = [r["part"] for r in index.select("part").distinct().collect()]
