@@ -103,6 +103,23 @@ def test_frames(spark):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_query_equals_the_patterns(spark):
+    import hashlib
+
+    from wiremere.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    rows = queries.QUERIES["op9_personal_data"](spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for row in rows:
+        base = strict(texts[row.doc_id])
+        written = [f"{pii.KINDS[k]}:{s}:{e}" for s, e, k in base]
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(sum(k == n for _, _, k in base) for n in range(4))
+        assert row.base_sha256 == hashlib.sha256(",".join(written).encode()).hexdigest()
+        assert set(written) <= set(filter(None, row.spans.split(",")))
+
+
 def test_overlapping_spans_are_redacted_once():
     text = "+10.1.2.3456789 x"
     assert [k for _, _, k, _ in pii.segments(text, pii.train([]))] == [3]
