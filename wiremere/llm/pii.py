@@ -9,7 +9,7 @@ segments are always kept, also where two kinds overlap; the model adds loose one
 The weights are learned here, by gradient ascent on the field's likelihood (forward-backward over the
 same segments). Examples are strict segments found in the corpus, respelled in the loose ways, against
 candidates such as plain numbers that must stay outside. The sample is bounded: TRAIN_TEXTS texts, the
-first by hash of doc_id among those that hold strict segments.
+first by hash of doc_id among those that show signs of strict segments, TRAIN_WINDOWS places of each.
 
 Nulls: a null text is empty and holds nothing. Repeated rows give repeated results.
 """
@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wiremere.llm import words
-from wiremere.session import ship_package
+from wiremere.llm.tables import prepare
 
 KINDS = ["email", "ip", "card", "phone"]
 MAX_LOOSE = 80  # longest loose segment, in characters
 CONTEXT = 24  # characters before a segment that its score sees
 TRAIN_TEXTS = 300
+TRAIN_WINDOWS = 20  # of each of these texts
 STEPS, RATE, DECAY = 300, 0.5, 1e-3
 MARGIN = 1.0  # log-odds a loose segment must reach over staying outside
 
@@ -301,15 +302,20 @@ def learn(docs: DataFrame) -> np.ndarray:
     """Weights from a bounded sample of the texts that hold strict segments."""
     # A cheap necessary sign of a strict segment; the scanners decide.
     sign = F.col("text").rlike(r"@[A-Za-z0-9-]+\.|\+[0-9]|[0-9]{4}[ -]?[0-9]{4}|[0-9]\.[0-9]+\.[0-9]")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(sign)
-    chosen = texts.select("text", F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id").limit(TRAIN_TEXTS)
-    parts = chosen.select(F.regexp_extract_all("text", F.lit(r"(?s)(.{0,60}(?:@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]+\.[0-9]).{0,80})"), 1).alias("p"))
-    return train([" ".join(r["p"]) for r in parts.collect()])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Ids first: tasks send ids to the driver, not texts, and only the chosen ones' windows follow.
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    ids = texts.filter(sign & F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(*order).limit(TRAIN_TEXTS)
+    ids = [r["doc_id"] for r in ids.collect()]
+    windows = F.regexp_extract_all("text", F.lit(r"(?s)(.{0,60}(?:@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]+\.[0-9]).{0,80})"), 1)
+    chosen = texts.filter(F.col("doc_id").isin(ids)).select("doc_id", F.array_join(F.slice(windows, 1, TRAIN_WINDOWS), " ").alias("w"))
+    parts = chosen.groupBy("doc_id").agg(F.min("w").alias("w")).orderBy("doc_id")
+    return train([r["w"] for r in parts.collect() if r["w"]])
 
 
 def find(docs: DataFrame, weights: np.ndarray | None = None, redacted: bool = False) -> DataFrame:
     """docs with `spans`; with `redacted`, also with each segment in the text replaced by its kind."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     weights = learn(docs) if weights is None else weights
     kept = [c for c in docs.columns if c != "spans" and not (redacted and c == "text")]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + f", spans {SPANS}"
