@@ -97,6 +97,12 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 160)}
 
 
+def test_hashes_of_a_long_buffer_equal_those_of_its_parts():
+    text = " ".join(f"word{i % 5000} {'x' * (i % 90)}" for i in range(90_000)) + " " + "y" * 5_000_000
+    long, short = (words.shingle_sets(pa.array([t]), 1)[0] for t in (text, " ".join(sorted(set(text.split())))))
+    assert long.tolist() == short.tolist()
+
+
 @pytest.mark.parametrize("width", [1, 3, 5])
 def test_shingles_of_arrow_slices(width):
     texts = pa.array(["x", None, "", "A b\tC d e f\x0bg h", "a b c\x1fd e f g h", "é" * 9000])

@@ -90,7 +90,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span: a polynomial over the span, from differences of prefix sums."""
+    """64-bit hash of each byte span, wherever it lies. Spans ascend; a long buffer is done in parts."""
+    if len(data) <= 2 * SLICE_BYTES:
+        return _hashes(data, starts, ends)
+    out, i = [np.zeros(0, np.uint64)], 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + SLICE_BYTES)))
+        low, high = starts[i], ends[j - 1]
+        out.append(_hashes(data[low:high], starts[i:j] - low, ends[i:j] - low))
+        i = j
+    return np.concatenate(out)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A polynomial over each span, from differences of prefix sums."""
     table, _ = _tables()
     up, down = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
