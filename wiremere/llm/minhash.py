@@ -96,7 +96,8 @@ def features(docs: DataFrame) -> DataFrame:
 def _similar_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            a, b = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for c in batch.columns[2:4])
+            marks = [np.frombuffer(b"".join(c.to_pylist()), np.uint8) for c in batch.columns[2:4]]
+            a, b = (m.reshape(-1, BANDS * ROWS) for m in marks)
             near = (a == b).sum(axis=1) >= LEAST_EQUAL
             yield batch.select([0, 1]).filter(pa.array(near))
 

@@ -48,6 +48,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, ratio=RATIO, epochs: int = EPOCHS
     rest = filling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     everything = Window.partitionBy()
     all_words = F.sum("source_size").over(everything) * F.lit(ratio[0]) / F.lit(float(ratio[1]))
+    limit = F.col("limit").cast("double")
     level = (F.col("all_words") - F.coalesce(F.sum("limit").over(before), F.lit(0))) / F.sum("weight").over(rest)
     return (
         sizes.withColumns(
@@ -62,7 +63,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, ratio=RATIO, epochs: int = EPOCHS
         .select(
             "source",
             "source_size",
-            F.least(F.col("limit").cast("double"), F.coalesce(F.col("weight") * F.col("open"), F.col("limit").cast("double"))).alias("target"),
+            F.least(limit, F.coalesce(F.col("weight") * F.col("open"), limit)).alias("target"),
         )
     )
 
@@ -96,8 +97,10 @@ def plan(rows: DataFrame, weights=WEIGHTS, ratio=RATIO, epochs: int = EPOCHS) ->
         "start", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     )
     cuts = near.filter((F.col("start") < F.col("left")) & (F.col("left") <= F.col("start") + F.col("size")))
-    cuts = cuts.select("source", F.col("key").alias("cut"), F.floor((F.col("left") - F.col("start")) / F.col("copies")).cast("long").alias("cut_words"))
-    return stored(goals.join(cuts, same(goals, cuts), "left").select(goals["source"], "source_size", "target", "full", "cut", "cut_words"))
+    share = F.floor((F.col("left") - F.col("start")) / F.col("copies")).cast("long")
+    cuts = cuts.select("source", F.col("key").alias("cut"), share.alias("cut_words"))
+    joined = goals.join(cuts, same(goals, cuts), "left")
+    return stored(joined.select(goals["source"], "source_size", "target", "full", "cut", "cut_words"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, ratio=RATIO, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:

@@ -28,7 +28,11 @@ FOLDS = 5
 THRESHOLD = 0.3
 TIE_BREAK = 0.02  # share of the score that keeps the order inside one isotonic step
 
-_STOPS = "the of and to in is that it a for was on as with be by this are at from und der die das den von zu mit sich auf de la le les et des un une que pour el en los se del las y no con".split()  # noqa: E501
+_STOPS = (
+    "the of and to in is that it a for was on as with be by this are at from "
+    "und der die das den von zu mit sich auf de la le les et des un une que pour "
+    "el en los se del las y no con"
+).split()
 
 STATISTICS = [
     "log_words",
@@ -206,7 +210,8 @@ def _equations(model: Model):
 
 def _added(key, batch):
     total = _matrix(batch.column("sums").combine_chunks()).sum(axis=0)
-    return pa.table({"fold": [key[0].as_py()], "row": [key[1].as_py()], "sums": [total]}, pa.schema([("fold", pa.int32()), ("row", pa.int32()), ("sums", pa.list_(pa.float64()))]))
+    schema = pa.schema([("fold", pa.int32()), ("row", pa.int32()), ("sums", pa.list_(pa.float64()))])
+    return pa.table({"fold": [key[0].as_py()], "row": [key[1].as_py()], "sums": [total]}, schema)
 
 
 def _solve(sums: np.ndarray) -> np.ndarray:

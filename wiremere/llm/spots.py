@@ -176,15 +176,15 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
         return spark.createDataFrame([], NEIGHBOURS)
     after = {r["bucket"]: heads[i - 1]["bucket"] for i, r in enumerate(heads)}  # where a head is guest
     guest_of = F.create_map(*[F.lit(x) for pair in after.items() for x in pair])
-    firsts = F.create_map(*[x for r in heads for x in (F.lit(r["bucket"]), F.struct(F.lit(r["head"]["key"]).alias("key"), F.lit(r["head"]["h"]).alias("h")))])
-    is_head = F.struct("key", "h") == F.element_at(firsts, F.col("bucket"))
-    places = F.when(
-        is_head,
-        F.array(
-            F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest")),
-            F.struct(F.element_at(guest_of, F.col("bucket")).alias("at"), F.lit(True).alias("guest")),
-        ),
-    ).otherwise(F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest"))))
+
+    def head(field):
+        found = F.create_map(*[F.lit(x) for r in heads for x in (r["bucket"], r["head"][field])])
+        return F.element_at(found, F.col("bucket"))
+
+    is_head = (F.col("key") == head("key")) & (F.col("h") == head("h"))
+    own = F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest"))
+    guest = F.struct(F.element_at(guest_of, F.col("bucket")).alias("at"), F.lit(True).alias("guest"))
+    places = F.when(is_head, F.array(own, guest)).otherwise(F.array(own))
     dealt = rows.withColumn("place", F.explode(places))
     dealt = dealt.select(F.col("place.at").alias("bucket"), F.col("place.guest").alias("guest"), "doc_id", "text", "key", "h")
     dealt = dealt.repartitionById(len(bounds) + 1, "bucket")
@@ -207,18 +207,21 @@ def similar_pairs(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFram
     table = stored(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "fingerprint"))
     classes = table.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"))
     members = table.join(classes, "fingerprint").select("doc_id", "class_id")
-    spots = F.expr(f"transform(sequence(0, length(fingerprint) div {HEX} - 1), i -> substr(fingerprint, i * {HEX} + 1, {HEX}))")
+    spot = f"substr(fingerprint, i * {HEX} + 1, {HEX})"
+    spots = F.expr(f"transform(sequence(0, length(fingerprint) div {HEX} - 1), i -> {spot})")
     heads = stored(classes.filter("length(fingerprint) > 0 and class_id is not null").select("class_id", spots.alias("spots")))
     counts = heads.select(F.explode("spots").alias("spot")).groupBy("spot").agg(F.count("*").alias("n"))
     # Each class's spots by rarity; a similar pair shares one of the first size - ceil(t * size) + 1.
     rows = heads.select("class_id", F.size("spots").alias("size"), F.explode("spots").alias("spot")).join(counts, "spot")
     ordered = rows.groupBy("class_id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "spot"))).alias("o"))
     prefix = F.col("size") - F.ceil(F.col("size") * threshold / F.lit(100)) + 1
-    probes = ordered.select("class_id", "size", F.posexplode(F.slice("o", F.lit(1), prefix.cast("int"))).alias("pos", "s"))
-    probes = probes.select("class_id", "size", "pos", F.col("s.spot").alias("spot"), length_partition(F.col("size"), threshold).alias("part"))
-    probes = stored(probes)
-    left = probes.select(F.col("class_id").alias("u"), F.col("size").alias("nu"), F.col("pos").alias("pu"), "spot", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
-    right = probes.select(F.col("class_id").alias("v"), F.col("size").alias("nv"), F.col("pos").alias("pv"), "spot", "part")
+    rarest = F.posexplode(F.slice("o", F.lit(1), prefix.cast("int"))).alias("pos", "s")
+    part = length_partition(F.col("size"), threshold).alias("part")
+    probes = ordered.select("class_id", "size", rarest)
+    probes = stored(probes.select("class_id", "size", "pos", F.col("s.spot").alias("spot"), part))
+    side = lambda n: [F.col("class_id").alias(n), F.col("size").alias(f"n{n}"), F.col("pos").alias(f"p{n}"), "spot"]
+    left = probes.select(*side("u"), F.explode(F.array("part", F.col("part") + 1)).alias("part"))
+    right = probes.select(*side("v"), "part")
     shorter = (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v")))
     # What is left after the shared spot bounds the overlap.
     most = F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv"))

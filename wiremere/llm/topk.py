@@ -146,7 +146,8 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = K, scale: int = SCALE
     """query_id, rank, vec_id, score: the k best of all other rows for each vec_id divisible by `every`."""
     prepare(vectors.sparkSession)
     table = stored(terms(vectors, scale=scale))
-    counts = table.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.min(F.struct("vec_id", F.size("terms"))).alias("s")).first()
+    asked_for = F.count_if(F.col("vec_id") % every == 0)
+    counts = table.agg(F.count("*"), asked_for, F.min(F.struct("vec_id", F.size("terms")))).first()
     if not counts[1]:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     table = table.filter(F.size("terms") == counts[2][1])

@@ -112,7 +112,7 @@ def write(pages: DataFrame, folder: str | None = None, date: str | None = None)
                 rows.append((page_id, url, name, offset, len(member), digest))
                 offset += len(member)
             if rows:
-                yield pa.RecordBatch.from_pylist([dict(zip(["page_id", "url", "file", "offset", "length", "digest"], r)) for r in rows], _INDEX)
+                yield pa.RecordBatch.from_pylist([dict(zip(_INDEX.names, r)) for r in rows], _INDEX)
         if out is not None:
             out.close()
 
@@ -120,8 +120,20 @@ def write(pages: DataFrame, folder: str | None = None, date: str | None = None)
     return stored(decide(pages).select(columns).mapInArrow(run, INDEX))
 
 
-_INDEX = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("digest", pa.string())])
-RECORDS = "page_id long, url string, record_type string, refers_to long, payload string, payload_bytes long, payload_digest string, intact boolean"
+_INDEX = pa.schema(
+    [
+        ("page_id", pa.int64()),
+        ("url", pa.string()),
+        ("file", pa.string()),
+        ("offset", pa.int64()),
+        ("length", pa.int64()),
+        ("digest", pa.string()),
+    ]
+)
+RECORDS = (
+    "page_id long, url string, record_type string, refers_to long, payload string, payload_bytes long, "
+    "payload_digest string, intact boolean"
+)
 _RECORDS = pa.schema(
     [
         ("page_id", pa.int64()),
