@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from wiremere.llm import licences, queries, spots, topk
+from wiremere.llm import licences, queries, spots, topk, words
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -136,6 +136,39 @@ def test_similar_pairs_equal_brute_force(spark):
     assert expected and classes[102] == classes[0] and classes[101] == 100
 
 
+ANCHORLESS = [f"w{i}" for i in range(300)]
+
+
+def test_spots_cover_texts_without_anchors():
+    whole, edited = "|".join(ANCHORLESS), "|".join(ANCHORLESS[:200] + [f"z{i}" for i in range(100)])
+    one = "|".join(["new", *ANCHORLESS])
+    sets = spots.spot_sets(pa.array([whole, edited, one, "a b c d e f g", "a b c d e f h"]))
+    assert 0.4 < spots.likeness(sets[0], sets[1]) < 0.6
+    assert spots.likeness(sets[0], sets[2]) > 0.9  # chains do not shift with a word before them
+    assert spots.likeness(sets[3], sets[4]) < 1
+    # Any word changes the fingerprint; so it does among common words alone.
+    for text in (ANCHORLESS[:30], ["the", *ANCHORLESS[:30]], spots.ANCHORS[:30], [*ANCHORLESS[:2], *spots.ANCHORS[:30], "x"]):
+        changed = [" ".join([*text[:i], "von", *text[i + 1 :]]) for i in range(len(text))]
+        own, *others = spots.spot_sets(pa.array([" ".join(text), *changed]))
+        assert all(spots.likeness(own, other) < 1 for other, w in zip(others, text) if w != "von")
+
+
+def test_words_of_most_documents_are_anchors(spark):
+    rows = [(i, f"qua {i} qua b{i} c{i} d{i} e{i} " + "rare" * (i < spots.MIN_DOCS - 1)) for i in range(150)]
+    docs = spark.createDataFrame([*rows, (150, None), (151, "")], "doc_id long, text string")
+    learned = spots.frequent(docs)
+    assert learned.tolist() == [words.hash_word("qua")]
+    got = {r.doc_id: r for r in spots.with_neighbours(docs).collect()}
+    for i, text in rows:
+        assert got[i].fingerprint == spots.written(spots.spot_sets(pa.array([text]), learned=learned)[0])
+    assert got[9].fingerprint != spots.written(spots.spot_sets(pa.array([rows[9][1]]))[0])
+
+
+def test_replaced_third_of_an_anchorless_text_lowers_near_edited(spark):
+    docs = spark.createDataFrame([(2, "|".join(ANCHORLESS)), (1, "|".join(f"z{i}" for i in range(300)))], "doc_id long, text string")
+    assert all(0.3 < r.near_edited < 0.7 for r in spots.with_neighbours(docs).collect())
+
+
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 

@@ -6,6 +6,12 @@ likeness of two documents is the Jaccard similarity of their sets. The start of
 common word too, so every text with words has a spot; a text without any has the empty fingerprint.
 Likeness of two empty fingerprints is 1.
 
+Common words are a fixed list and the COMMON words that stand in the most documents, counted over all of
+them, if in MIN_DOCS at least. Content words that no chain reaches begin chains of their own: the first of
+such a run, and the word of least hash of every CHAIN in a row, so that an edit changes the chains around
+it only. Words left over at the end of a text, where chains are cut off, form chains among themselves.
+Thus spots cover the whole text, but for one or two left-over words that hold a common one.
+
 Pairs of similar documents are found over partitions by set length: a document can only meet those of
 its own and the next partition. Inside them, documents meet through the rarest of their spots, so many
 as a similar pair cannot avoid to share, and a comparison is pruned by lengths and by the place where
@@ -29,6 +35,8 @@ CHAIN = 3
 STEP = 1
 THRESHOLD = 75  # hundredths
 HEX = 8  # digits per spot
+COMMON = 100  # most frequent words that are anchors too
+MIN_DOCS = 100  # documents that hold such a word, at least
 
 ANCHORS = (
     "the of and to in is that it a for was on as with be by this are at from "
@@ -38,15 +46,49 @@ ANCHORS = (
 ).split()
 
 
-def spot_sets(texts: pa.Array, anchors: list[str] = ANCHORS) -> list[np.ndarray]:
-    """Sorted distinct 32-bit spot hashes of every text."""
+def frequent(docs: DataFrame) -> np.ndarray:
+    """Hashes of the COMMON words that stand in the most rows of docs, in MIN_DOCS at least."""
+    prepare(docs.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            for start, end in words.slices(column):
+                data, offsets = words.utf8(column.slice(start, end - start))
+                starts, ends, before = words.spans(words.ALNUM[data], offsets)
+                word = words.hashes(words.LOWER[data], starts, ends) if len(starts) else np.zeros(0, np.uint64)
+                row = np.repeat(np.arange(len(before) - 1), np.diff(before))
+                order = np.argsort(word, kind="stable")
+                word, row = word[order], row[order]
+                new = np.ones(len(word), bool)
+                new[1:] = (word[1:] != word[:-1]) | (row[1:] != row[:-1])
+                value, n = np.unique(word[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
+
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(count, "word long, n long")
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_DOCS)
+    rows = counts.orderBy(F.col("n").desc(), "word").limit(COMMON).collect()
+    return np.array([r["word"] for r in rows], np.int64).view(np.uint64)
+
+
+def _restarts(word: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Where chains begin in runs of words: at each run's first, and at the least of every CHAIN in a row."""
+    first = np.flatnonzero(np.diff(run, prepend=-1))
+    window = np.flatnonzero(run[: 1 - CHAIN] == run[CHAIN - 1 :])
+    least = window + word[window[:, None] + np.arange(CHAIN)].argmin(axis=1)
+    return np.unique(np.concatenate([first, least]))
+
+
+def spot_sets(texts: pa.Array, anchors: list[str] = ANCHORS, learned: np.ndarray | None = None) -> list[np.ndarray]:
+    """Sorted distinct 32-bit spot hashes of every text; `learned` are hashes of further anchors."""
     data, offsets = words.utf8(texts)
     starts, ends, before = words.spans(words.ALNUM[data], offsets)
     n = len(offsets) - 1
     if not len(starts):
         return [np.zeros(0, np.uint32)] * n
     word = words.hashes(words.LOWER[data], starts, ends)
-    common = np.array(sorted({words.hash_word(a) for a in anchors}), np.uint64)
+    common = np.array([words.hash_word(a) for a in anchors], np.uint64)
+    common = np.unique(common if learned is None else np.concatenate([common, learned]))
     is_anchor = common[np.minimum(np.searchsorted(common, word), len(common) - 1)] == word
     content = np.flatnonzero(~is_anchor)
     first = np.searchsorted(content, before)  # content words before each text
@@ -57,18 +99,46 @@ def spot_sets(texts: pa.Array, anchors: list[str] = ANCHORS) -> list[np.ndarray]
     whole = begin + (CHAIN - 1) * STEP < first[row + 1]
     anchor, row, begin = anchor[whole], row[whole], begin[whole]
     spot = word[anchor]
+    covered = np.zeros(len(word), bool)
+    covered[anchor] = True
     for k in range(CHAIN):
         spot = words.mix(spot * np.uint64(0x9E3779B97F4A7C15) + word[content[begin + k * STEP]])
+        covered[content[begin + k * STEP]] = True
+    # The start of a text: its first content words, or first words if it has none.
+    heads = [content[a : min(a + CHAIN, b)] for a, b in zip(first, first[1:])]
+    heads = [h if len(h) else np.arange(a, min(a + CHAIN, b)) for h, a, b in zip(heads, before, before[1:])]
+    covered[np.concatenate(heads)] = True
+    # Content words that no chain has reached.
+    free = np.flatnonzero(~covered[content])
+    owner = np.searchsorted(first, free, side="right") - 1
+    run = np.cumsum((np.diff(free, prepend=-2) > 1) | (np.diff(owner, prepend=-1) > 0))
+    again = _restarts(word[content[free]], run)
+    again, owner = free[again], owner[again]
+    whole = again + CHAIN <= first[owner + 1]
+    again, owner = again[whole], owner[whole]
+    for k in range(CHAIN):
+        covered[content[again + k]] = True
+    # What is left over at the ends.
+    left = np.flatnonzero(~covered)
+    at = np.searchsorted(left, before)
+    holder = np.searchsorted(before, left, side="right") - 1
+    last = at[holder + 1]
+    tail = _restarts(word[left], holder)
+    tail = np.union1d(tail[tail + CHAIN <= last[tail]], at[1:][np.diff(at) >= CHAIN] - CHAIN)
+    values = [spot, words.chain(word[content], again, CHAIN), words.chain(word[left], tail, CHAIN)]
+    rows = np.concatenate([row, owner, holder[tail]])
+    order = np.argsort(rows, kind="stable")
+    spot, row = np.concatenate(values)[order], rows[order]
     cuts = np.searchsorted(row, np.arange(n + 1))
     out = []
     for r in range(n):
-        found = spot[cuts[r] : cuts[r + 1]]
-        if before[r + 1] > before[r]:
-            head = content[first[r] : min(first[r] + CHAIN, first[r + 1])]
-            if not len(head):
-                head = np.arange(before[r], before[r + 1])
-            found = np.concatenate([found, words.chain(word, head[:1], 1) if len(head) == 1 else _folded(word[head])])
-        out.append(np.unique((found >> np.uint64(32)).astype(np.uint32)))
+        found = [spot[cuts[r] : cuts[r + 1]]]
+        if len(heads[r]):
+            found.append(_folded(word[heads[r]]))
+        end = left[at[r] : at[r + 1]]
+        if 0 < len(end) < CHAIN and not is_anchor[end].any():
+            found.append(_folded(word[end]))
+        out.append(np.unique((np.concatenate(found) >> np.uint64(32)).astype(np.uint32)))
     return out
 
 
@@ -94,11 +164,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """docs with `fingerprint`, in place of a column of that name."""
     prepare(docs.sparkSession)
+    learned = frequent(docs)
 
     @F.pandas_udf("string")
     def of(texts):
         array = pa.array(texts, pa.large_string())
-        found = [written(s) for a, b in words.slices(array) for s in spot_sets(array.slice(a, b - a))]
+        found = [written(s) for a, b in words.slices(array) for s in spot_sets(array.slice(a, b - a), learned=learned)]
         return type(texts)(found, dtype=object)
 
     return docs.withColumn("fingerprint", of(F.coalesce(F.col("text").cast("string"), F.lit(""))))
@@ -112,7 +183,7 @@ NEIGHBOURS = (
 )
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(batches: Iterator[pa.RecordBatch], learned: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of (bucket, guest, doc_id, text), sorted, with the next bucket's head as guest at the end."""
     carry: list[tuple] = []
     names = ["doc_id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -125,14 +196,14 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(rows) < 2:
                 continue
             own = [r[3] or "" for r in rows]
-            sets = spot_sets(pa.array(own, pa.large_string()))
+            sets = spot_sets(pa.array(own, pa.large_string()), learned=learned)
             # A row is followed by its neighbour; guests are only followed, and not by another bucket.
             at = [i for i in range(len(rows) - 1) if not rows[i][1] and rows[i][0] == rows[i + 1][0]]
             edited = []
             for i in at:
                 k = len(own[i]) // 3
                 edited.append(own[i][: len(own[i]) - k] + own[i + 1][:k])
-            changed = spot_sets(pa.array(edited, pa.large_string()))
+            changed = spot_sets(pa.array(edited, pa.large_string()), learned=learned)
             if at:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -158,6 +229,7 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    learned = frequent(rows)
     least = -(1 << 63)
     rows = rows.withColumns({"key": F.coalesce("doc_id", F.lit(least)), "h": F.xxhash64("text")})
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -189,7 +261,7 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
     dealt = dealt.select(F.col("place.at").alias("bucket"), F.col("place.guest").alias("guest"), "doc_id", "text", "key", "h")
     dealt = dealt.repartitionById(len(bounds) + 1, "bucket")
     dealt = dealt.sortWithinPartitions("bucket", "guest", F.col("key").desc(), F.col("h").desc())
-    return dealt.select("bucket", "guest", "doc_id", "text").mapInArrow(_neighbours, NEIGHBOURS)
+    return dealt.select("bucket", "guest", "doc_id", "text").mapInArrow(lambda batches: _neighbours(batches, learned), NEIGHBOURS)
 
 
 # ---- similar pairs ----
