@@ -1,5 +1,6 @@
 """Personal data: strict segments against the patterns, the field's programs against enumeration."""
 
+import functools
 import itertools
 import random
 import re
@@ -91,6 +92,35 @@ def test_model_adds_loose_spellings_and_keeps_strict_ones():
         assert pii.segments(clean, weights) == []
 
 
+@functools.cache
+def field():
+    return pii.train(SAMPLE)
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("x 4111 1111 1111 1111 12/27 y", ["4111 1111 1111 1111"]),
+        ("x 4111-1111-1111-1111 123 y", ["4111-1111-1111-1111"]),
+        ("4111 1111 1111 1111 5500 0055 5555 5559", ["4111 1111 1111 1111", "5500 0055 5555 5559"]),
+        ("3782 822463 10005 3782-822463-10005", ["3782 822463 10005", "3782-822463-10005"]),
+        ("7 3782 822463 10005 12/27", ["3782 822463 10005"]),
+        ("3782_822463_10005", ["3782_822463_10005"]),
+        ("+49 30 12345678 10.0.0.1", ["+49 30 12345678", "10.0.0.1"]),
+        ("+44 20 7946 0958 4111111111111111", ["+44 20 7946 0958", "4111111111111111"]),
+        ("ask " + "long" * 30 + ".name [at] host.org now", ["long" * 30 + ".name [at] host.org"]),
+        ("see " + "1 2 3 " * 20 + "and 17 23 " * 9 + "+1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7", []),
+    ],
+)
+def test_glued_numbers_and_long_local_parts(text, expected):
+    assert [text[s:e] for s, e, _, _ in pii.segments(text, field())] == expected
+
+
+def test_long_runs_of_candidates_take_linear_time():
+    for text in ("1 " * 50_000, "1234 " * 20_000, "+1 " + "1.1-" * 50_000, "a[at" * 50_000, "a(at)b.c " * 20_000, "a" * 300_000 + "(at)"):
+        pii.loose_segments(text)
+
+
 def test_frames(spark):
     rows = [(1, "a b@c.de f", 1), (2, None, 1), (None, "", 1), (4, "é +1 (369) 555-1339\U0001f600 1.2.3.4", 1), (1, "a b@c.de f", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans int")

@@ -1,9 +1,10 @@
 """Personal data: a semi-Markov conditional random field over candidate segments.
 
-Pattern scanners propose whole segments: strict ones (the base kinds) and looser spellings of the same
-kinds. Each segment is scored as a whole, from its shape, its check digits and the words before it. A
-dynamic program over the segments of a text, whose length is bounded for loose ones, chooses boundaries
-and kinds jointly: the best set of segments that do not overlap, everything else being outside. Strict
+Pattern scanners propose whole segments: strict ones (the base kinds), looser spellings of the same kinds,
+and parts, at the borders of groups of digits, of runs of digits that fail the strict check as a whole.
+Each segment is scored as a whole, from its shape, its check digits and the words before it. A dynamic
+program over the segments of a text, whose length is bounded for loose numbers, chooses boundaries and
+kinds jointly: the best set of segments that do not overlap, everything else being outside. Strict
 segments are always kept, also where two kinds overlap; the model adds loose ones.
 
 The weights are learned here, by gradient ascent on the field's likelihood (forward-backward over the
@@ -26,10 +27,11 @@ from wiremere.llm import words
 from wiremere.llm.tables import prepare
 
 KINDS = ["email", "ip", "card", "phone"]
-MAX_LOOSE = 80  # longest loose segment, in characters
+MAX_LOOSE = 80  # longest loose segment but for e-mails, in characters
 CONTEXT = 24  # characters before a segment that its score sees
 TRAIN_TEXTS = 300
 TRAIN_WINDOWS = 20  # of each of these texts
+GLUED = 3  # one of so many cards and phones is also shown glued to a number
 STEPS, RATE, DECAY = 300, 0.5, 1e-3
 MARGIN = 1.0  # log-odds a loose segment must reach over staying outside
 
@@ -43,12 +45,16 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Looser spellings.
 LOOSE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]{1,40} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,30}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,20}){1,3}"),
+    # From the sign on; the local part before it is read backwards, as in the strict scan.
+    "email": re.compile(r"[\[(]at[\])] ?[A-Za-z0-9-]{1,30}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,20}){1,3}"),
     "phone": re.compile(r"(?<![\w+.(-])(?:(?:\+|00)[1-9][0-9]{0,2}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![\w-])"),
-    "card": re.compile(r"(?<![\w.-])[0-9]{4}(?:[._/]?[0-9]{4}){2}[._/]?[0-9]{2,7}(?!\w|[.-]\w)"),
+    "card": re.compile(r"(?<![\w.-])[0-9]{4}(?:(?:[._/]?[0-9]{4}){2}[._/]?[0-9]{2,7}|[._/][0-9]{6}[._/][0-9]{4,5})(?!\w|[.-]\w)"),
     "ip": re.compile(r"(?<![\w.])[0-9]{1,3}(?: ?[\[(]\.[\])] ?[0-9]{1,3}){3}(?![\w.])"),
 }
-LOOSE_SIGN = {"email": ("at]", "at)"), "ip": ("[.]", "(.)")}
+LOOSE_SIGN = {"email": ("[at", "(at"), "ip": ("[.]", "(.)")}
+GROUP = re.compile(r"[0-9]+")
+# Usual groups of a card's digits, besides one group.
+CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (6, 13), (4, 4, 4, 4, 1), (4, 4, 4, 4, 2), (4, 4, 4, 4, 3)}
 CUES = {
     "email": ("mail", "contact", "write", "reach"),
     "ip": ("ip", "host", "server", "address"),
@@ -102,10 +108,61 @@ def base_segments(text: str) -> list[Segment]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
-def loose_segments(text: str) -> list[Segment]:
-    """Candidates in looser spellings, by start."""
+def glued_segments(text: str) -> list[Segment]:
+    """Parts, at group borders, of the runs of digits that fail the strict check as a whole."""
     found = []
+    for m in CARD.finditer(text):
+        digits = _digits(m.group()) if m.end() - m.start() >= 14 else ""
+        if len(digits) < 14 or len(digits) <= 19 and luhn(digits):
+            continue
+        groups = [g.span() for g in GROUP.finditer(text, *m.span())]
+        for i, (start, _) in enumerate(groups):
+            n = 0
+            for begin, end in groups[i:i + 19]:
+                n += end - begin
+                if n > 19:
+                    break
+                if n >= 14 and luhn(_digits(text[start:end])):
+                    found.append((start, end, 2))
+    if "+" in text:
+        for m in PHONE.finditer(text):
+            n, most = 0, len(_digits(m.group()))
+            if most <= 15:
+                continue
+            for g in GROUP.finditer(text, *m.span()):
+                n += g.end() - g.start()
+                if n > 15:
+                    break
+                if n >= 10:
+                    found.append((m.start(), g.end(), 3))
+    return found
+
+
+def loose_emails(text: str) -> list[Segment]:
+    """Candidates with a written-out @: the whole local part before the sign."""
+    found = []
+    for sign in LOOSE_SIGN["email"]:
+        at, free = text.find(sign), 0
+        while at >= 0:
+            m = LOOSE["email"].match(text, at)
+            if m:
+                end = at - 1 if at > free and text[at - 1] == " " else at
+                start = end
+                while start > free and text[start - 1] in LOCAL:
+                    start -= 1
+                if start < end:
+                    found.append((start, m.end(), 0))
+                    free = m.end()
+            at = text.find(sign, max(at + 1, free))
+    return found
+
+
+def loose_segments(text: str) -> list[Segment]:
+    """Candidates in looser spellings or glued to their neighbours, by start."""
+    found = glued_segments(text)
     for kind, name in enumerate(KINDS):
+        if name == "email":
+            continue
         signs = LOOSE_SIGN.get(name)
         if signs is None:
             found += [(m.start(), m.end(), kind) for m in LOOSE[name].finditer(text)]
@@ -120,7 +177,7 @@ def loose_segments(text: str) -> list[Segment]:
                     found.append((m.start(), m.end(), kind))
                     free = m.end()
                 at = text.find(sign, max(at + 1, free))
-    return sorted({s for s in found if s[1] - s[0] <= MAX_LOOSE})
+    return sorted({s for s in found if s[1] - s[0] <= MAX_LOOSE} | set(loose_emails(text)))
 
 
 def free_segments(text: str, strict: list[Segment]) -> list[Segment]:
@@ -133,7 +190,7 @@ def free_segments(text: str, strict: list[Segment]) -> list[Segment]:
     return [c for c in loose if np.searchsorted(ends, c[0], side="right") == np.searchsorted(starts, c[1])]
 
 
-N_SHAPES = 9
+N_SHAPES = 11
 N_FEATURES = len(KINDS) * N_SHAPES
 
 
@@ -144,6 +201,11 @@ def describe(text: str, segment: Segment) -> np.ndarray:
     digits = _digits(body)
     before = text[max(0, start - CONTEXT) : start].lower()
     parts = re.split(r"\D+", body.strip("+()"))
+    sizes = tuple(g.end() - g.start() for g in GROUP.finditer(body))
+    if kind == 2:
+        regular = luhn(digits) and (len(sizes) == 1 or sizes in CARD_GROUPS)
+    else:
+        regular = kind == 3 and body[0] == "+" and len(sizes) <= 6 and max(map(len, GROUP.split(body))) <= 2
     shape = [
         1.0,
         float(luhn(digits)) if len(digits) >= 12 else 0.0,
@@ -154,6 +216,8 @@ def describe(text: str, segment: Segment) -> np.ndarray:
         float(all(p.isdigit() and int(p[-4:]) <= 255 for p in parts if p)),
         float(any(c.isalpha() for c in re.sub(r"[\[(](?:at|dot)[\])]", "", body))),
         float(any(c in before for c in CUES[KINDS[kind]])),
+        float(regular),
+        float(kind > 1 and len(sizes) > 6),
     ]
     out = np.zeros(N_FEATURES)
     out[kind * N_SHAPES : (kind + 1) * N_SHAPES] = shape
@@ -216,11 +280,26 @@ def respell(body: str, kind: int, turn: int) -> str:
     return [f"({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"{tail[:3]}-{tail[3:6]}-{tail[6:]}", f"001 {tail[:3]} {tail[3:6]} {tail[6:]}"][turn % 3]
 
 
+def glued(body: str, kind: int, turn: int) -> tuple[str, str, str]:
+    """A card or phone in usual groups, a number to stand right after it, and its digits with some more
+    in small groups, which are neither."""
+    digits = _digits(body)
+    if kind == 2:
+        sizes = {14: (4, 6, 4), 15: (4, 6, 5)}.get(len(digits), (4, 4, 4, 4, 3))
+        ends = np.cumsum(sizes).tolist()
+        body = " -"[turn % 2].join(filter(None, (digits[e - n : e] for e, n in zip(ends, sizes))))
+        after = [" 12/27", " 123", " 5500 0055 5555 5559", " 2024"][turn // 2 % 4]
+        return body, after, " ".join(re.findall("..", digits + "7351902846"))
+    after = [" 10.0.0.1", " 4111111111111111", " - 2024-01-02", " 555 1234"][turn % 4]
+    return body, after, "+" + " ".join(digits + "735190284")
+
+
 def examples(texts: list[str]) -> list[tuple[list[Segment], np.ndarray, np.ndarray]]:
     """Windows around strict segments, respelled, with their candidates and which of them are true.
 
     Every window has a twin in which the digits are changed so that no check holds and no cue stands
-    before it: its candidates are false.
+    before it: its candidates are false. Of every GLUED cards and phones one also stands glued to a number,
+    with a twin in small groups of digits whose candidates are false.
     """
     out = []
     for t, text in enumerate(texts):
@@ -243,6 +322,18 @@ def examples(texts: list[str]) -> list[tuple[list[Segment], np.ndarray, np.ndarr
                 if segments:
                     x = np.stack([describe(made, s) for s in segments])
                     out.append((segments, x, np.array([float(s == answer) for s in segments])))
+            if kind < 2 or turn % GLUED:
+                continue
+            whole, after, small = glued(text[start:end], kind, turn // GLUED)
+            at = len(lead) + len(cue) + 1
+            answers = [(at, at + len(whole), kind)]
+            if len(_digits(after)) == 16:  # a card too
+                answers.append((answers[0][1] + 1, answers[0][1] + len(after), 2))
+            for made, answers in ((f"{lead}{cue} {whole}{after} {tail}", answers), (f"{lead} {small} {tail}", [])):
+                segments = free_segments(made, base_segments(made))
+                if segments and set(answers) <= set(segments):
+                    x = np.stack([describe(made, s) for s in segments])
+                    out.append((segments, x, np.array([float(s in answers) for s in segments])))
     return out
 
 
@@ -250,7 +341,9 @@ def train(texts: list[str]) -> np.ndarray:
     """Weights that raise the likelihood of the true segments; a start in favour of checks."""
     weights = np.zeros((len(KINDS), N_SHAPES))
     # Where the sample shows nothing of a kind, its segments need a check or a cue to be taken.
-    weights[:, 0] = [0.0, 0.0, -2.0, -1.0]
+    weights[:, 0] = [0.0, 0.0, -4.0, -1.0]
+    weights[2:, 9] = 4.0
+    weights[2:, 10] = -4.0
     weights[:, 8] = 2.0
     weights[2, 1] = 4.0
     weights[1, 6] = 2.0
