@@ -12,7 +12,7 @@ such a run, and the word of least hash of every CHAIN in a row, so that an edit
 it only. Words left over at the end of a text, where chains are cut off, form chains among themselves.
 Thus spots cover the whole text, but for one or two left-over words that hold a common one.
 
-Pairs of similar documents are found over partitions by set length: a document can only meet those of
+No query runs `similar_pairs`. Its pairs of similar documents are found over partitions by set length: a document can only meet those of
 its own and the next partition. Inside them, documents meet through the rarest of their spots, so many
 as a similar pair cannot avoid to share, and a comparison is pruned by lengths and by the place where
 the shared spot stands.
