@@ -1,11 +1,11 @@
-"""Licence scan with a positional rare-token index.
+"""Licence scan by the place of each template's rarest key word.
 
 Templates are short licence passages. Words get an inverse document frequency from all documents. The
-index holds, for every template word, the places it has in templates; for each template its rarest
-words are known. A file's licence words are looked up, rarest first; each occurrence votes for
-(template, start), the word's place in the file minus its place in the template, and the votes of
-several words are intersected. A start counts as a match when the template's mandatory key phrases
-stand there word for word; its score is the share of the template's weight that is found in place.
+index is simplified: it posts one (template, place) per template, that of the rarest word of its key
+phrases, its anchor. Anchors are looked up in a file, rarest first; each occurrence gives a start, the
+word's place in the file minus its place in the template. Votes of several words are not intersected:
+a start counts as a match when the template's mandatory key phrases stand there word for word, which any
+match must hold. Its score is the share of the template's weight that is found in place.
 
 Base phrases are templates of their own whose key phrase is the whole text, so all their places come
 out of the same index, at any number.
@@ -79,7 +79,7 @@ def vocabulary(templates: list[Template]) -> list[str]:
 
 
 class Index:
-    """Places of words in templates, with the templates' rarest words as anchors."""
+    """The templates' words, with the rarest word of each one's key phrases as its anchor."""
 
     def __init__(self, templates: list[Template], idf: dict[str, float]):
         self.templates = templates
