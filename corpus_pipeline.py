@@ -15,11 +15,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject. Rows without doc_id, which carry no decision
-    of their own, are kept."""
+    """Documents that the classifier does not reject: every row by its own text, with or without doc_id."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rejected = quality.classify(docs, labels).filter("predicted = 0").select("doc_id")
-    return docs.select(COLUMNS).join(rejected, "doc_id", "left_anti").select(COLUMNS)
+    rejected = quality.classify(docs, labels, hashed=True).filter("predicted = 0")
+    rejected = rejected.select(F.col("doc_id").alias("id"), "text_hash").distinct()
+    docs = docs.select(COLUMNS)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("text_hash"))
+    return docs.join(rejected, same, "left_anti").select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

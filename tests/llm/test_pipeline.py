@@ -42,6 +42,18 @@ def test_quality_drops_labelled_junk_and_keeps_the_rest(stages, spark):
     assert set(after) <= set(before)
 
 
+def test_quality_decides_every_row_by_its_own_text(stages, spark):
+    before, after = stages["quality"]
+    kept = {r.doc_id for r in after}
+    good, bad = (next(r for r in before if (r.doc_id in kept) == want) for want in (True, False))
+    name = lambda r, i: (i, *r[1:])
+    odd = [name(good, None), name(bad, None), name(good, bad.doc_id + 10**6), name(bad, bad.doc_id + 10**6)]
+    docs = spark.createDataFrame(before, spark.read.parquet(f"{SF}/documents.parquet").schema)
+    rows = corpus_pipeline.keep_quality(spark, docs.union(spark.createDataFrame(odd, docs.schema)), SF).collect()
+    found = [(r.doc_id, r.text) for r in rows if r.doc_id is None or r.doc_id >= 10**6]
+    assert sorted(found, key=str) == sorted([(None, good.text), (bad.doc_id + 10**6, good.text)], key=str)
+
+
 def test_one_document_of_each_group_stays(stages):
     before, after = stages["near_duplicates"]
     groups = brute_force([(r.doc_id, r.text) for r in before])

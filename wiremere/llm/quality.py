@@ -142,14 +142,17 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = pa.array(np.ascontiguousarray(x).reshape(-1))
             bounds = pa.array(np.arange(0, (len(x) + 1) * len(STATISTICS), len(STATISTICS)), pa.int32())
             columns = [batch.column(0).slice(start, end - start), pa.ListArray.from_arrays(bounds, flat)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "x"])
+            columns += [c.slice(start, end - start) for c in batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "x", *batch.schema.names[2:]])
 
 
-def document_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and statistics x, stored: texts are read once."""
+def document_statistics(docs: DataFrame, hashed: bool = False) -> DataFrame:
+    """doc_id and statistics x, stored: texts are read once. With `hashed`, also the text's hash."""
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(texts.mapInArrow(_statistics, "doc_id long, x array<float>"))
+    if hashed:
+        texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    return stored(texts.mapInArrow(_statistics, "doc_id long, x array<float>" + ", text_hash long" * hashed))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -281,13 +284,17 @@ def scored(rows: DataFrame, model: Model) -> DataFrame:
     return rows.withColumn("score", score("x"))
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted per row of docs, fitted on labels (doc_id, quality)."""
-    rows = document_statistics(docs)
+def classify(docs: DataFrame, labels: DataFrame, hashed: bool = False) -> DataFrame:
+    """doc_id, held_out, score and predicted per row of docs, fitted on labels (doc_id, quality).
+
+    With `hashed`, also text_hash, which tells rows without doc_id or of one doc_id apart.
+    """
+    rows = document_statistics(docs, hashed)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
     known = known.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # The row's own fold comes from its id, as the held-out rows do.
     fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS).cast("int")
     model = fit(rows.join(known, "doc_id").select("x", "label", fold.alias("fold")))
     result = scored(rows, model).withColumn("held_out", held_out(F.col("doc_id")))
-    return result.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return result.select("doc_id", "held_out", "score", predicted, *["text_hash"] * hashed)
