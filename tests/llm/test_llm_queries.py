@@ -20,7 +20,7 @@ def duck():
 
 def test_registration():
     names = list(queries.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(contract.queries())
     assert set(queries.ORACLES) <= set(names)
 

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremere.llm import bpe, licences, minhash, mix, pii, quality, shards, spots, topk, warc
+from wiremere.llm import alignment, bpe, clusters, licences, minhash, mix, pii, quality, shards, spots, topk, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,21 @@ def op10_warc_archive(spark, sf):
 
 
 ORACLES["op10_warc_archive"] = warc.SQL
+
+
+@query
+def op11_token_alignment(spark, sf):
+    return alignment.align(table(spark, sf, "documents"))
+
+
+@query
+def op12_centroid_clusters(spark, sf):
+    return clusters.cluster(table(spark, sf, "embeddings"))
+
+
+ORACLES["op12_centroid_clusters"] = clusters.sql()
+
+
+@query
+def op13_url_filter(spark, sf):
+    return urls.judge(table(spark, sf, "pages"))
