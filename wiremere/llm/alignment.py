@@ -34,6 +34,7 @@ from wiremere.llm.tables import prepare, stored
 
 BLOCK_BYTES = 4 << 20
 PAIRS_A_ROW = 8192
+UNITS_AT_ONCE = 4096
 MEASURES = ["n_a", "n_b", "n_groups", "n_links"]
 ALIGNED = (
     "block long, text_key binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -120,36 +121,43 @@ class Aligner:
     def of(path_a: str, path_b: str) -> "Aligner":
         return Aligner(path_a, path_b)
 
-    def _tokens(self, ids: list[list[int]], table: list[bytes], sizes: np.ndarray, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Flat ids and their bounds per unit, and which units' tokens give back their bytes."""
-        bounds = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)
-        flat = np.fromiter(chain.from_iterable(ids), np.int64, bounds[-1])
-        told = _sum_per_unit(sizes[flat], bounds)
-        good = told == np.array([len(r) for r in raw], np.int64)
-        given = b"".join([table[i] for i in flat.tolist()])
-        if not good.all() or given != b"".join(raw):
-            at = np.concatenate([[0], np.cumsum(told)]).tolist()
-            good &= np.array([given[at[u] : at[u + 1]] == r for u, r in enumerate(raw)])
-        return flat, bounds, good
+    def _tokens(self, ids: list[list[int]], table: list[bytes], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flat ids, their number per unit, and which units' tokens give back their bytes."""
+        flat = list(chain.from_iterable(ids))
+        given = [table[i] for i in flat]
+        numbers = np.fromiter(map(len, ids), np.int64, len(ids))
+        good = np.ones(len(ids), bool)
+        if b"".join(given) != b"".join(raw):
+            ends = np.cumsum(numbers).tolist()
+            good[:] = [b"".join(given[e - n : e]) == r for e, n, r in zip(ends, numbers.tolist(), raw)]
+        else:
+            sizes = np.fromiter(map(len, given), np.int64, len(given))
+            good &= _sum_per_unit(sizes, np.concatenate([[0], np.cumsum(numbers)])) == [len(r) for r in raw]
+        return np.array(flat, np.int32), numbers, good
+
+    def _encoded(self, units: list[str]) -> Iterator[tuple]:
+        """Units in portions: the libraries' own results take many times the room of the ids."""
+        for start in range(0, len(units), UNITS_AT_ONCE):
+            some = units[start : start + UNITS_AT_ONCE]
+            spaced = [" " + u for u in some]
+            raw = [s.encode() for s in spaced]
+            a = self._tokens([e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)], self.bytes_a, raw)
+            b = self._tokens(self.b.encode(some, num_threads=1), self.bytes_b, raw)
+            good = a[2] & b[2]
+            yield good, a[0][np.repeat(good, a[1])], b[0][np.repeat(good, b[1])], a[1][good], b[1][good], np.array([len(r) for r in raw])[good]
 
     def align(self, units: list[str]) -> Units:
         """Tokens, groups and links of every unit, each read as a space and the unit."""
-        spaced = [" " + u for u in units]
-        raw = [s.encode() for s in spaced]
-        found_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        found_b = self.b.encode(units, num_threads=1)
-        a, bounds_a, good_a = self._tokens(found_a, self.bytes_a, self.long_a, raw)
-        b, bounds_b, good_b = self._tokens(found_b, self.bytes_b, self.long_b, raw)
-        good = good_a & good_b
-        n_a, n_b = np.diff(bounds_a), np.diff(bounds_b)
-        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
-        n_a, n_b = n_a[good], n_b[good]
+        if not units:
+            units = [""]  # arrays of the right types, of which nothing is used
+        good, a, b, n_a, n_b, sizes = (np.concatenate(x) for x in zip(*self._encoded(units)))
         # Ends of all tokens, in bytes from the first good unit on: both count the same bytes.
         ends_a, ends_b = np.cumsum(self.long_a[a]), np.cumsum(self.long_b[b])
-        unit_ends = np.cumsum([len(r) for r, g in zip(raw, good) if g])
-        cuts = np.union1d(ends_a, ends_b)
-        common = np.intersect1d(ends_a, ends_b)
-        pairs = a[np.searchsorted(ends_a, cuts)] * self.size_b + b[np.searchsorted(ends_b, cuts)]
+        unit_ends = np.cumsum(sizes)
+        cuts = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        twice = cuts[1:] == cuts[:-1]
+        common, cuts = cuts[1:][twice], cuts[np.concatenate([[True], ~twice])] if len(cuts) else cuts
+        pairs = a[np.searchsorted(ends_a, cuts)].astype(np.int64) * self.size_b + b[np.searchsorted(ends_b, cuts)]
         counts = {
             "n_a": n_a,
             "n_b": n_b,
@@ -165,7 +173,7 @@ class Aligner:
         at_a = np.arange(len(a)) + np.searchsorted(group_b, group_a)
         at_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
         ids[at_a], ids[at_b] = a, b
-        closes_a, closes_b = np.isin(ends_a, common, assume_unique=True), np.isin(ends_b, common, assume_unique=True)
+        closes_a, closes_b = (np.append(common, -1)[group] == ends for group, ends in ((group_a, ends_a), (group_b, ends_b)))
         mark[at_a], mark[at_b] = np.where(closes_a, ord("|"), ord(",")), np.where(closes_b, ord(";"), ord(","))
         long = self.n_digits[ids]
         starts = np.concatenate([[0], np.cumsum(long + 1)])
