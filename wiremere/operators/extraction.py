@@ -22,15 +22,25 @@ UNEXPECTED_PREFIX = "Unexpected: "
 
 # ---- the offline default: column expressions only ----
 
-def _lowered(articles: DataFrame, column: str) -> DataFrame:
-    return articles.withColumn("_low", F.lower(F.col(column)))
+def _keywords(lexicon: Mapping[str, list[str]]) -> list[str]:
+    return [w for words in lexicon.values() for w in words]
+
+
+def _scanned(articles: DataFrame, column: str, pattern: str) -> DataFrame:
+    """Add what a pattern finds in the lower-cased text, in a column of its own: all rules share it."""
+    return articles.withColumn("_found", rules.scan(F.lower(F.col(column)), pattern))
+
+
+def _with_actions(scanned: DataFrame) -> DataFrame:
+    found = F.col("_found")
+    return scanned.withColumns(
+        {"usd": rules.largest_usd(found), "action_required": rules.action_rule(found), "mood": rules.sentiment(found)}
+    )
 
 
 def flag_actions(articles: DataFrame, column: str = "raw_text") -> DataFrame:
     """Add the largest dollar amount, whether the text calls for action, and its sentiment as `mood`."""
-    priced = _lowered(articles, column).withColumn("usd", rules.top_usd(F.col("_low")))
-    flag = rules.action_rule(F.col("_low"))
-    return priced.withColumns({"action_required": flag, "mood": rules.sentiment(F.col("_low"))}).drop("_low")
+    return _with_actions(_scanned(articles, column, rules.action_pattern())).drop("_found")
 
 
 def classify(
@@ -40,10 +50,13 @@ def classify(
 
     A category scores one per keyword found; ties go to the first category name.
     """
-    keywords = [w for words in lexicon.values() for w in words]
-    hit = _lowered(articles, column).withColumn("hits", rules.keyword_hits(F.col("_low"), keywords))
+    return _with_category(_scanned(articles, column, rules.keyword_pattern(_keywords(lexicon))), lexicon).drop("_found")
+
+
+def _with_category(scanned: DataFrame, lexicon: Mapping[str, list[str]]) -> DataFrame:
+    hit = scanned.withColumn("hits", rules.keywords_among(F.col("_found"), _keywords(lexicon)))
     scores = {f"score_{c}": s for c, s in rules.category_scores(F.col("hits"), lexicon).items()}
-    scored = hit.drop("_low").withColumns(scores)
+    scored = hit.withColumns(scores)
     top = F.greatest(*[F.col(c) for c in scores])
     total = sum((F.col(c) for c in scores), F.lit(0))
     winner = F.coalesce(
@@ -65,7 +78,8 @@ def _names_found(hits: Column) -> Column:
 
 def lexicon_payloads(articles: DataFrame) -> DataFrame:
     """Payloads of the offline rules: the headline (else the text's start) serves as summary."""
-    scored = classify(flag_actions(articles))
+    scanned = _scanned(articles, "raw_text", rules.action_pattern(_keywords(C.LEXICON)))
+    scored = _with_category(_with_actions(scanned), C.LEXICON)
     action = rules.gate_action(F.col("action_required"), F.col("confidence"))
     summary = F.left(
         F.coalesce(text.filled(F.col("title")), F.col("raw_text")), F.lit(C.MAX_SUMMARY_CHARS)
@@ -194,9 +208,15 @@ def silver_rows(routed: DataFrame, run_at: datetime) -> DataFrame:
     )
 
 
-def not_yet_stored(silver_batch: DataFrame, silver: DataFrame) -> DataFrame:
-    """Signals whose article Silver does not hold yet; a replay after a crash adds nothing."""
-    known = silver.select("bronze_id").join(silver_batch.select("bronze_id"), "bronze_id", "left_semi")
+def not_yet_stored(silver_batch: DataFrame, silver: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """Signals whose article Silver does not hold yet; a replay after a crash adds nothing.
+
+    `among` (column bronze_id) names the articles that Silver can hold at all; without any, Silver is not read.
+    """
+    asked = silver_batch.select("bronze_id")
+    if among is not None:
+        asked = asked.join(among.select("bronze_id"), "bronze_id", "left_semi")
+    known = silver.select("bronze_id").join(asked, "bronze_id", "left_semi")
     return silver_batch.join(known, "bronze_id", "left_anti")
 
 
