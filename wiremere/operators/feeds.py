@@ -37,7 +37,8 @@ def drop_repeats(entries: DataFrame, seen: DataFrame | None = None) -> DataFrame
     keyed = entries.withColumn(
         "dedup_key", F.coalesce(text.filled(F.col("link")), text.entry_title(F.col("title")))
     )
-    first = first_per_key(keyed, ["dedup_key"], entry_order(entries))
+    # A feed's entries have places of their own, so no two entries tie.
+    first = first_per_key(keyed, ["dedup_key"], entry_order(entries), unique=True)
     return first if seen is None else first.join(seen.select("dedup_key"), "dedup_key", "left_anti")
 
 

@@ -16,16 +16,28 @@ def first_keys(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.select(*keys, F.struct(*order).alias("at")).groupBy(*keys).agg(F.min("at").alias("first_at"))
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the first in the given order. Rows that tie in it must be equal."""
-    return pick(df, first_keys(df, keys, order), keys, order)
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column], unique: bool = False) -> DataFrame:
+    """One row per key, the first in the given order; a null key is a key of its own.
+
+    Rows that tie in the order must be equal; `unique` says that no two rows of the table do.
+    """
+    return pick(df, first_keys(df, keys, order), keys, order, unique)
 
 
-def pick(df: DataFrame, chosen: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The rows of df that `chosen` (keys, first_at) names, one for each."""
-    chosen = materialise(chosen)
-    found = df.withColumn("first_at", F.struct(*order)).join(chosen, [*keys, "first_at"], "left_semi")
-    return found.dropDuplicates([*keys, "first_at"]).drop("first_at")
+def pick(df: DataFrame, chosen: DataFrame, keys: list[str], order: list[Column], unique: bool = False) -> DataFrame:
+    """The rows of df that `chosen` (keys, first_at) names, one for each.
+
+    Where the order is unique in the whole table it names the rows alone: keys are not worked out a
+    second time, and every winner moves once at most.
+    """
+    named = [] if unique else keys
+    chosen = materialise(chosen).select(*[F.col(k).alias(f"_of_{k}") for k in named], F.col("first_at").alias("_first"))
+    rows = df.withColumn("first_at", F.struct(*order))
+    same = rows["first_at"].eqNullSafe(chosen["_first"])
+    for k in named:
+        same &= rows[k].eqNullSafe(chosen[f"_of_{k}"])
+    found = rows.join(chosen, same, "left_semi")
+    return (found if unique else found.dropDuplicates([*keys, "first_at"])).drop("first_at")
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: str, n: int) -> DataFrame:
@@ -44,5 +56,6 @@ def top_per_key(df: DataFrame, keys: list[str], order: str, n: int) -> DataFrame
     last = narrow.groupBy(*[F.col(k).alias(f"_last_{k}") for k in keys]).agg(F.max(order).alias("_last"))
     last = materialise(last)
     same = [df[k].eqNullSafe(last[f"_last_{k}"]) for k in keys]
-    found = df.join(last, [*same, df[order] <= last["_last"]])
+    # A null comes first in its key, so it is among the first n of any n.
+    found = df.join(last, [*same, df[order].isNull() | (df[order] <= last["_last"])])
     return found.select(*[df[c] for c in df.columns])
