@@ -1,0 +1,276 @@
+"""Commits, open articles and the hash index of a lake: crashes, two writers, long histories."""
+
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from wiremere import schemas
+from wiremere.operators import bronze, extraction, status
+from wiremere.plans import commits
+from wiremere.plans.commits import Busy, CommitLog, Fenced, Snapshot
+from wiremere.plans.job import JobOptions, process, run_job, store
+from wiremere.plans.lake import Lake
+from wiremere.sources import registry
+
+AT = datetime(2024, 1, 2)
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.create()
+    return lake
+
+
+@pytest.fixture
+def batch(frame):
+    def make(*texts):
+        rows = [("s", None, f"t {t}", t, None, i) for i, t in enumerate(texts)]
+        columns = "source_name string, source_url string, title string, raw_text string, raw_metadata string, row_number long"
+        return bronze.with_hash(frame(columns, rows))
+
+    return make
+
+
+def texts(df):
+    return sorted(r["raw_text"] for r in df.select("raw_text").collect())
+
+
+def entries(lake, *rows, at=AT):
+    """Status rows (text, status) for stored articles."""
+    ids = {r["raw_text"]: r["id"] for r in lake.bronze().select("id", "raw_text").collect()}
+    df = lake.spark.createDataFrame([(ids[t], s, f"bad {t}" if s == "failed" else None) for t, s in rows], "bronze_id string, status string, error string")
+    return status.entries(df, at, "r")
+
+
+# ---- the log ----
+
+def test_numbers_and_void_commits(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    assert log.snapshot() == Snapshot()
+    one = log.begin()
+    assert one == 1 and log.snapshot().number == 0
+    log.end(one)
+    two = log.begin()
+    log.cancel(two)
+    assert log.snapshot() == Snapshot(1)
+    three = log.begin()
+    log.end(three, {"open": three})
+    assert log.snapshot() == Snapshot(3, (2,), {"open": 3})
+    log.end(log.begin())
+    assert log.snapshot() == Snapshot(4, (2,), {"open": 3})
+
+
+def test_a_second_writer_is_refused_and_a_late_one_fenced(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    first, second = CommitLog(spark, folder), CommitLog(spark, folder)
+    number = first.begin()
+    with pytest.raises(Busy):
+        second.begin()
+    # The lease is over: the second writer goes on, the first one cannot become visible any more.
+    takeover = CommitLog(spark, folder, lease_seconds=0.0)
+    assert takeover.begin() == number + 1
+    with pytest.raises(Fenced):
+        first.end(number)
+    takeover.end(number + 1)
+    assert first.snapshot() == Snapshot(2, (1,))
+
+
+def test_of_two_claims_one_wins(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    assert log._put("1.begin", {}) and not log._put("1.begin", {})
+    assert not [f for f in Path(tmp_path / "log").iterdir() if f.name.startswith(".1.begin-")], "no drafts stay"
+
+
+def test_only_the_newest_ends_are_read(spark, tmp_path, monkeypatch):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    for _ in range(5):
+        log.end(log.begin())
+    log.cancel(log.begin())
+    read, body = [], CommitLog._body
+    monkeypatch.setattr(CommitLog, "_body", lambda self, name: (read.append(name), body(self, name))[1])
+    assert log.snapshot() == Snapshot(5)
+    assert read == ["6.end", "5.end"]
+
+
+# ---- tables ----
+
+def test_appends_of_a_commit_appear_together(lake, batch):
+    with lake.commit() as commit:
+        assert commit.append("bronze", bronze.stamp(batch("a", "b"), AT)) == 2
+        assert lake.bronze().count() == 0
+    assert texts(lake.bronze()) == ["a", "b"]
+
+
+def test_a_crash_between_two_appends_leaves_nothing(lake, batch, monkeypatch):
+    store(lake, batch("Swiss Re downgraded by Fitch", "chatter"), AT)
+    before = lake.snapshot()
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(extraction, "status_rows", crash)
+        with pytest.raises(RuntimeError):
+            process(lake, extraction.lexicon_payloads, None, AT, "r")
+    assert lake.silver().count() == lake.status().count() == 0, "the signals were written but do not show"
+    assert lake.snapshot() == before
+    assert process(lake, extraction.lexicon_payloads, None, AT, "r") == {"silver": 1, "noise": 1}
+    assert (lake.silver().count(), lake.status().count()) == (1, 2)
+    assert lake.snapshot().void == (2,)
+
+
+def test_two_runs_at_once(lake, batch, spark):
+    with lake.commit() as commit:
+        with pytest.raises(Busy):
+            store(Lake(spark, lake.root), batch("a"), AT)
+        commit.append("bronze", bronze.stamp(batch("a"), AT))
+    assert store(lake, batch("a", "b"), AT) == (2, 1, 1)
+
+
+def test_a_fenced_run_leaves_its_rows_invisible(lake, batch, spark, monkeypatch):
+    with pytest.raises(Fenced):
+        with lake.commit() as commit:
+            commit.append("bronze", bronze.stamp(batch("a"), AT))
+            monkeypatch.setattr(commits, "LEASE_SECONDS", 0.0)
+            other = CommitLog(spark, lake.log.folder, lease_seconds=0.0)
+            other.end(other.begin())
+    assert lake.bronze().count() == 0
+    assert store(lake, batch("a"), AT) == (1, 1, 0), "its hashes do not show either"
+
+
+def test_a_snapshot_stays(lake, batch):
+    store(lake, batch("a"), AT)
+    old = lake.at(lake.snapshot())
+    store(lake, batch("b"), AT)
+    assert texts(old.bronze()) == ["a"] and texts(lake.bronze()) == ["a", "b"]
+
+
+# ---- open articles ----
+
+def open_rows(lake):
+    names = {r["id"]: r["raw_text"] for r in lake.bronze().select("id", "raw_text").collect()}
+    return sorted((names[r["id"]], r["status"], r["error"]) for r in lake.open_articles().collect())
+
+
+def whole(lake):
+    """Open articles from the whole history."""
+    names = {r["id"]: r["raw_text"] for r in lake.bronze().select("id", "raw_text").collect()}
+    return sorted((names[r["id"]], r["status"], r["error"]) for r in status.open_state(lake.bronze(), lake.status()).collect())
+
+
+@pytest.mark.parametrize("compact", [False, True])
+def test_open_articles_over_many_commits(lake, batch, compact):
+    later = lambda n: AT + timedelta(hours=n)
+    steps = [
+        lambda: store(lake, batch("a", "b", "c", "d", "e"), AT),
+        lambda: lake.append("status", entries(lake, ("a", "silver"), ("b", "failed"), ("c", "noise"), at=later(1))),
+        lambda: store(lake, batch("a", "f", "g"), AT),
+        lambda: lake.append("status", entries(lake, ("f", "failed"), ("b", "retry"), at=later(2))),
+        lambda: lake.append("status", entries(lake, ("b", "silver"), ("g", "noise"), at=later(3))),
+        # An article that was done is put back, and one whose entry is older than its state is not.
+        lambda: lake.append("status", entries(lake, ("c", "retry"), at=later(4))),
+        lambda: lake.append("status", entries(lake, ("a", "failed"), ("f", "silver"), at=AT - timedelta(days=1))),
+        lambda: lake.retry(lake.bronze().select(F.col("id").alias("bronze_id")), later(5)),
+    ]
+    for step in steps:
+        step()
+        if compact:
+            assert "open" in lake.compact(open_after=1)
+        assert open_rows(lake) == whole(lake)
+    assert open_rows(lake) == [("c", "retry", None), ("d", "new", None), ("e", "new", None), ("f", "retry", None)]
+
+
+def spoil(lake, table, number):
+    """Overwrite a table's files up to a commit, so that reading one is an error."""
+    files = [f for f in Path(lake.path(table)).rglob("*.parquet") if int(str(f).split("commit_id=")[1].split("/")[0]) <= number]
+    for file in files:
+        file.write_bytes(b"spoilt")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    return len(files)
+
+
+def test_a_run_reads_no_history(lake, batch):
+    """A hundred times as many done articles as open ones; their states and signals cannot be read."""
+    store(lake, batch(*[f"old {i}" for i in range(1000)]), AT)
+    ids = lake.bronze().select(F.col("id").alias("bronze_id"), F.lit("noise").alias("status"), F.lit(None).alias("error"))
+    lake.append("status", status.entries(ids, AT, "r"))
+    store(lake, batch("open 1", "open 2"), AT + timedelta(days=40))
+    lake.append("status", entries(lake, ("open 2", "failed")))
+    assert lake.compact(open_after=1, hashes_after=1) == ["open", "hashes"]
+    number = lake.snapshot().number
+    assert spoil(lake, "status", number) and spoil(lake, "hashes", number - 1)
+    # The days of done articles are left out as well.
+    day = lake.bronze().filter("raw_text = 'open 1'").first()["ingest_date"]
+    old = [f for f in Path(lake.path("bronze")).rglob("*.parquet") if f"ingest_date={day}" not in str(f)]
+    assert old
+    for file in old:
+        file.write_bytes(b"spoilt")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    assert store(lake, batch("old 7", "fresh"), AT + timedelta(days=41)) == (2, 1, 1)
+    assert process(lake, extraction.lexicon_payloads, None, AT + timedelta(days=41), "r") == {"noise": 2}
+    assert lake.open_articles().count() == 1
+    letters = status.letters(lake.bronze().filter(F.col("ingest_date") >= day), status.failures(lake.open_articles()))
+    assert [r["processing_error"] for r in letters.collect()] == ["bad open 2"]
+
+
+def test_compaction_is_due_after_some_commits(lake, batch):
+    assert lake.compact() == []
+    for i in range(8):
+        store(lake, batch(f"a{i}"), AT)
+    assert lake.compact() == ["open"] and lake.compact() == []
+    assert lake.snapshot().compacted == {"open": 9}
+
+
+# ---- hash index ----
+
+@pytest.mark.parametrize("compact", [False, True])
+@pytest.mark.parametrize("literals", [0, 1000])
+def test_known_hashes(lake, batch, monkeypatch, compact, literals):
+    monkeypatch.setattr("wiremere.plans.lake.LITERAL_HASHES", literals)
+    store(lake, batch(*"abc"), AT)
+    if compact:
+        lake.compact(hashes_after=1)
+    store(lake, batch(*"cde"), AT)
+    asked = batch(*"aefg")
+    known = {r[0] for r in lake.known_hashes(asked).collect()}
+    assert known == {r["content_hash"] for r in asked.filter("raw_text in ('a', 'e')").collect()}
+    assert lake.known_hashes(asked.limit(0)).count() == 0
+
+
+def test_other_prefixes_are_not_read(lake, batch):
+    store(lake, batch(*[f"t{i}" for i in range(200)]), AT)
+    asked = batch("t5")
+    own = asked.first()["content_hash"][: bronze.PREFIX_CHARS]
+    for file in Path(lake.path("hashes")).rglob("*.parquet"):
+        if f"prefix={own}/" not in str(file):
+            file.write_bytes(b"spoilt")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    assert lake.known_hashes(asked).count() == 1
+    assert lake.insert_one("s", "t5") is None
+
+
+def test_one_hash_index_row_per_article(lake, batch):
+    store(lake, batch("a", "a", "b"), AT)
+    assert lake.insert_one("s", "c")
+    index = lake.spark.read.schema(schemas.HASHES).parquet(lake.path("hashes"))
+    assert sorted(r[0] for r in index.collect()) == sorted(r["content_hash"] for r in lake.bronze().collect())
+
+
+# ---- runs ----
+
+@pytest.mark.parametrize("error", [ValueError("odd"), KeyError("k"), OSError("gone")])
+def test_any_failing_source_leaves_the_backlog_to_be_processed(lake, batch, error):
+    store(lake, batch("Swiss Re downgraded by Fitch"), AT)
+
+    def broken(spark):
+        raise error
+
+    registry.register("broken", broken)
+    try:
+        result = run_job(lake, JobOptions(source="broken"), run_at=AT)
+    finally:
+        registry.SOURCES.pop("broken")
+    assert (result.ingested, result.outcomes, result.silver_total) == (0, {"silver": 1}, 1)

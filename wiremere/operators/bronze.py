@@ -9,6 +9,12 @@ from wiremere.functions import text, times
 from wiremere.operators.ranking import first_keys, pick
 
 HASH = "content_hash"
+PREFIX, PREFIX_CHARS = "prefix", 1  # folders of the hash index
+
+
+def prefix() -> Column:
+    """The beginning of a row's hash, the same share of all hashes for each value."""
+    return F.left(HASH, F.lit(PREFIX_CHARS)).alias(PREFIX)
 
 
 def with_hash(articles: DataFrame) -> DataFrame:
@@ -25,17 +31,17 @@ def existing_hashes(batch: DataFrame, bronze: DataFrame) -> DataFrame:
 
 
 def new_rows(
-    batch: DataFrame, bronze: DataFrame, arrival: list[Column], probe: bool = False
+    batch: DataFrame, bronze: DataFrame, arrival: list[Column], probe: bool = False, unique: bool = False
 ) -> DataFrame:
     """Insert-or-ignore: the first row per hash by arrival order, minus hashes Bronze holds.
 
     Hashes and arrival decide alone; texts are read for the new rows only. Rows that tie in arrival
-    must be equal. With `probe`, for a stored batch that is small next to Bronze, Bronze is first
-    reduced to the batch's hashes.
+    must be equal; where no two rows of the batch do, `unique` spares the look for ties. With `probe`,
+    for a stored batch that is small next to Bronze, Bronze is first reduced to the batch's hashes.
     """
     first = first_keys(batch, [HASH], arrival)
     stored = existing_hashes(batch, bronze) if probe else bronze.select(HASH)
-    return pick(batch, first.join(stored, HASH, "left_anti"), [HASH], arrival)
+    return pick(batch, first.join(stored, HASH, "left_anti"), [HASH], arrival, unique)
 
 
 def stamp(articles: DataFrame, run_at: datetime) -> DataFrame:

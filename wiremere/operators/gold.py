@@ -132,7 +132,11 @@ def dashboard_header(signals: DataFrame) -> DataFrame:
 
 def lake_stats(bronze: DataFrame, silver: DataFrame, log: DataFrame) -> DataFrame:
     """One row: articles, signals, dead letters (all of them, not a page)."""
-    failed = status.current(log).filter(F.col("status") == status.FAILED)
+    return stats_of(bronze, silver, status.current(log).filter(F.col("status") == status.FAILED))
+
+
+def stats_of(bronze: DataFrame, silver: DataFrame, failed: DataFrame) -> DataFrame:
+    """One row: rows of each."""
     counts = [
         df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
         for name, df in {"bronze": bronze, "silver": silver, "dlq": failed}.items()

@@ -558,3 +558,11 @@ check("stream_ingest", ["document_articles"], f"""
 SELECT DISTINCT ON (content_hash) content_hash, source_name, title
 FROM (SELECT *, {hashed()} AS content_hash FROM document_articles WHERE {stripped('raw_text')} <> '')
 ORDER BY content_hash, seq""")
+
+# ---- stored lakes ----
+
+ORACLES["hash_lookup"] = ORACLES["existing_hashes"]
+ORACLES["open_articles"] = chain(NEWS_LOG, STATE, """
+SELECT n.id, coalesce(s.status, 'new') AS status, s.error
+FROM news n LEFT JOIN state s ON s.bronze_id = n.id
+WHERE coalesce(s.status, 'new') NOT IN ('silver', 'noise')""")

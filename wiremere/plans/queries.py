@@ -27,6 +27,7 @@ TIMELINE_OF = date(1996, 12, 30)  # its week has days at both ends of the year
 WEEKS = ["2024-W01", "2024-W02", "2024-W03", "2024-W04", "2024-W05"]
 RUN_AT = datetime(2024, 2, 1)
 STORED_BEFORE = "1998-01-01"
+LOGGED_BEFORE = "2024-01-16"  # about the middle of the status log
 ARCHIVE_FROM, ARCHIVE_TO = "1996-01-01", "1996-12-31"
 ARCHIVE_SOURCES = ["rss::feed1", "rss::feed3"]
 # Everyday words of the four languages in the documents, as a lexicon of its own.
@@ -266,26 +267,26 @@ def _stored_and_batch(news: DataFrame) -> tuple[DataFrame, DataFrame]:
     batch = bronze.with_hash(feeds.accepted(news))
     earlier = batch.filter(F.col("ingested_at") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
     nothing = earlier.limit(0)
-    return bronze.new_rows(earlier, nothing, [F.col("seq")]), batch
+    return bronze.new_rows(earlier, nothing, [F.col("seq")], unique=True), batch
 
 
 @over("news")
 def bronze_insert_ignore(news):
     stored, batch = _stored_and_batch(news)
-    fresh = bronze.new_rows(batch, stored, [F.col("seq")])
+    fresh = bronze.new_rows(batch, stored, [F.col("seq")], unique=True)
     return naive(bronze.stamp(fresh, RUN_AT).drop("raw_metadata"), "ingested_at")
 
 
 @over("news")
 def bronze_insert_probe(news):
     stored, batch = _stored_and_batch(news)
-    return bronze.new_rows(batch, stored, [F.col("seq")], probe=True).select("seq", "content_hash")
+    return bronze.new_rows(batch, stored, [F.col("seq")], probe=True, unique=True).select("seq", "content_hash")
 
 
 @over("document_articles", "page_articles")
 def articles_dedup(docs, pages):
     batch = bronze.with_hash(feeds.accepted(feeds.union_sources(docs, pages)))
-    fresh = bronze.new_rows(batch, batch.limit(0), [F.col("seq")])
+    fresh = bronze.new_rows(batch, batch.limit(0), [F.col("seq")], unique=True)
     return fresh.select("seq", "source_name", "content_hash")
 
 
@@ -301,8 +302,38 @@ def existing_hashes(news):
     return bronze.existing_hashes(batch, stored)
 
 
+def _stored_lake(spark: SparkSession, rows: DataFrame) -> Lake:
+    lake = Lake(spark, scratch(spark, "lake"))
+    lake.create()
+    lake.append("bronze", rows)
+    return lake
+
+
+@over("news")
+def hash_lookup(news):
+    """The poll's hashes that a stored lake holds, by its hash index, part of which is compacted."""
+    stored, batch = _stored_and_batch(news)
+    lake = _stored_lake(news.sparkSession, bronze.stamp(stored.filter("seq % 2 = 0"), RUN_AT))
+    lake.compact(hashes_after=1)
+    lake.append("bronze", bronze.stamp(stored.filter("seq % 2 = 1"), RUN_AT))
+    return lake.known_hashes(batch)
+
+
 # ---- status ----
 
+@over("news", "status_log")
+def open_articles(news, log):
+    """Open articles of a stored lake: compacted in the middle of its log, and carried on from there."""
+    log = log.withColumns({"logged_at": F.col("logged_at").cast("timestamp"), "run_id": F.lit("-")})
+    middle = F.col("logged_at") < F.lit(LOGGED_BEFORE).cast("timestamp")
+    rows = bronze.with_hash(news).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+    lake = _stored_lake(news.sparkSession, rows)
+    lake.append("status", log.filter(middle))
+    lake.compact(open_after=1)
+    lake.append("status", log.filter(~middle))
+    return lake.open_articles().select("id", "status", "error")
+
+
 @over("status_log")
 def status_current(log):
     return status.current(log)

@@ -36,6 +36,11 @@ REJECT = _fields(
 
 STATUS = _fields(bronze_id=TEXT, status=TEXT, error=TEXT, logged_at=TIME, run_id=TEXT)
 
+# Articles that are not done yet, and the hashes of all articles by their beginning.
+OPEN = _fields(id=TEXT, ingested_at=TIME, ingest_date=T.DateType(), status=TEXT, error=TEXT, logged_at=TIME)
+
+HASHES = _fields(content_hash=TEXT, prefix=TEXT)
+
 SILVER = _fields(
     id=TEXT,
     bronze_id=TEXT,

@@ -16,14 +16,15 @@ def bronze_writer(
     lake: Lake, arrival: list[str], clock: Callable[[], datetime] = lambda: datetime.now(UTC)
 ) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function. Ids come from the content hash and stored hashes are skipped, so a
-    replayed batch adds nothing. Bronze wants one writer at a time."""
+    replayed batch adds nothing. While another writer's commit is open, the batch fails and is replayed."""
     def write(batch: DataFrame, batch_id: int) -> None:
         hashed = bronze.with_hash(feeds.accepted(batch)).persist()
         try:
             with run_folder(batch.sparkSession):
                 order = [F.col(c) for c in arrival]
-                fresh = bronze.new_rows(hashed, lake.bronze(), order, probe=True)
-                lake.append("bronze", bronze.stamp(fresh, clock()))
+                with lake.commit() as commit:
+                    fresh = bronze.new_rows(hashed, lake.known_hashes(hashed), order)
+                    commit.append("bronze", bronze.stamp(fresh, clock()))
         finally:
             hashed.unpersist()
 
