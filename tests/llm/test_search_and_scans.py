@@ -65,6 +65,24 @@ def test_blocks_are_pruned_and_exact():
         assert (vec.tolist(), score.tolist()) == ([0], [min(big * (big + 1) + 1, topk.MOST)])
 
 
+def test_top_k_of_several_lengths_and_large_components(spark, monkeypatch):
+    """One short vector at the smallest id changes nothing for the others; nothing finite is left out."""
+    monkeypatch.setattr(topk, "RANGE_ROWS", 50)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 8)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.uniform(-1, 1, 3 if i % 7 else 5).tolist()) for i in range(1, 300)] + [(0, [0.5])]
+    rows += [(400, [1e14, 0.25, -1.0]), (500, [-1e14, 1e14, 2.0]), (401, [3e38, 1.0, 0.0]), (600, [2.0**60, 1.0, 1.0])]
+    terms = {i: [int(1024 * int(x)) if abs(x) > 2**43 else int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    expected = set()
+    for q in terms:
+        if q % 100 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(terms[q], t)), i) for i, t in terms.items() if i != q and len(t) == len(terms[q]))
+            expected |= {(q, n + 1, i, min(max(-s, topk.LEAST), topk.MOST)) for n, (s, i) in enumerate(scores[:10])}
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in topk.top_k(frame).collect()} == expected
+    assert {q for q, *_ in expected} == {100, 200, 400, 500, 600}
+
+
 def plain_spots(text):
     found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
     content = [i for i, w in enumerate(found) if w not in spots.ANCHORS]

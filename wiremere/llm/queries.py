@@ -60,7 +60,7 @@ WITH t AS (
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.terms, d.terms)::BIGINT AS score
-  FROM t q JOIN t d ON d.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+  FROM t q JOIN t d ON d.vec_id <> q.vec_id AND len(d.terms) = len(q.terms) WHERE q.vec_id % 100 = 0
 ), r AS (
   SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s
 )
