@@ -138,6 +138,17 @@ def test_queue_of_some_articles_spreads_over_tasks(spark, tmp_path):
     assert queue.count() == 1000
 
 
+def test_search_results_stay_where_they_lie(texts):
+    from wiremere.sources import archive
+
+    found = archive.scan(texts.withColumn("title", F.col("id")), "text 1", max_results=100)
+    top = re.search(r"TakeOrderedAndProject\nInput \[\d+\]: \[([^\]]*)\]", plan(found)).group(1)
+    assert "raw_text" not in top and "Exchange hashpartitioning" not in plan(found)
+    assert found.rdd.getNumPartitions() > 1
+    expected = sorted((r["ingested_at"], r["id"]) for r in texts.collect() if "text 1" in f"{r['id']} {r['raw_text']}".lower())
+    assert sorted((r["ingested_at"], r["id"]) for r in found.collect()) == expected[:100]
+
+
 def test_period_and_category_filters_reach_the_scan(lake):
     from datetime import date
 

@@ -25,7 +25,8 @@ def scan(
 ) -> DataFrame:
     """Articles in a date range (both days included), of some sources, holding a phrase.
 
-    Date and source tests reach the Parquet scan. `max_results`, where given, keeps the oldest.
+    Date and source tests reach the Parquet scan. `max_results`, where given, keeps the oldest, in no
+    order: they are chosen by time and `tiebreak`, which is unique, and their texts stay where they lie.
     """
     found = articles
     if date_from is not None:
@@ -44,7 +45,9 @@ def scan(
         found = found.filter(text.keyword_match(query, F.col("title"), F.col("raw_text")))
     if max_results is None:
         return found
-    return found.orderBy(F.col(date_column).asc_nulls_last(), F.col(tiebreak).asc()).limit(max_results)
+    oldest = [F.col(date_column).asc_nulls_last(), F.col(tiebreak).asc()]
+    keys = found.orderBy(*oldest).limit(max_results).select(F.col(tiebreak).alias("_key"))
+    return found.join(keys, F.col(tiebreak) == F.col("_key"), "left_semi")
 
 
 def normalise(found: DataFrame, source_name: str = ARCHIVE_NAME) -> DataFrame:
