@@ -216,6 +216,24 @@ def test_a_run_reads_no_history(lake, batch):
     assert [r["processing_error"] for r in letters.collect()] == ["bad open 2"]
 
 
+def test_vacuum_removes_what_nobody_sees(lake, batch):
+    store(lake, batch("a", "b"), AT)
+    with pytest.raises(RuntimeError), lake.commit() as commit:
+        commit.append("bronze", bronze.stamp(batch("lost"), AT))
+        raise RuntimeError
+    for text in ("c", "d"):
+        store(lake, batch(text), AT)
+        lake.compact(open_after=1, hashes_after=1)
+    shown = lambda: (texts(lake.bronze()), open_rows(lake), lake.known_hashes(batch("a", "d", "lost")).count())
+    before = shown()
+    numbers = lambda table: {int(p.name.split("=")[1]) for p in Path(lake.path(table)).glob("*/commit_id=*")}
+    assert 2 in numbers("bronze") and lake.vacuum() == 0, "too young"
+    assert lake.vacuum(timedelta(0)) > 0
+    assert shown() == before and before[2] == 2
+    assert numbers("bronze") == {0, 1, 3, 5} and numbers("open") == numbers("hashes") == {0, 6}
+    assert store(lake, batch("lost", "d"), AT) == (2, 1, 1)
+
+
 def test_compaction_is_due_after_some_commits(lake, batch):
     assert lake.compact() == []
     for i in range(8):

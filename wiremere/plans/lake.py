@@ -1,9 +1,10 @@
 """The lake: Parquet tables under one root, written in numbered commits, and views on them."""
 
+import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +149,22 @@ class Lake:
                     commit.compact("hashes", self._files("hashes", seen.shows(since) | (F.col(COMMIT) == since)))
         return due
 
+    def vacuum(self, older_than: timedelta = timedelta(days=1)) -> int:
+        """Delete folders that no reader of now needs: of void commits and of superseded compactions.
+
+        Younger ones stay, for readers that hold an older snapshot and writers that were declared void.
+        """
+        seen, until, removed = self.snapshot(), time.time() - older_than.total_seconds(), 0
+        for table in (*TABLES, *DERIVED):
+            since = seen.compacted.get(table, 0) if table in DERIVED else 0
+            pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/*/{COMMIT}=*")
+            files = pattern.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+            for folder in files.globStatus(pattern):
+                number = int(folder.getPath().getName().split("=")[1])
+                if (number in seen.void or 0 < number < since) and folder.getModificationTime() / 1000 <= until:
+                    removed += bool(files.delete(folder.getPath(), True))
+        return removed
+
     # ---- writing ----
 
     @contextmanager
