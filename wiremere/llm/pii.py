@@ -16,6 +16,7 @@ Nulls: a null text is empty and holds nothing. Repeated rows give repeated resul
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +46,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Looser spellings.
 LOOSE = {
-    # From the sign on; the local part before it is read backwards, as in the strict scan.
-    "email": re.compile(r"[\[(]at[\])] ?[A-Za-z0-9-]{1,30}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,20}){1,3}"),
+    # From the sign on, with whole labels; the local part before it is read backwards, as in the strict scan.
+    "email": re.compile(r"[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]++){1,3}(?:\.[A-Za-z0-9-]++)*"),
     "phone": re.compile(r"(?<![\w+.(-])(?:(?:\+|00)[1-9][0-9]{0,2}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![\w-])"),
     "card": re.compile(r"(?<![\w.-])[0-9]{4}(?:(?:[._/]?[0-9]{4}){2}[._/]?[0-9]{2,7}|[._/][0-9]{6}[._/][0-9]{4,5})(?!\w|[.-]\w)"),
     "ip": re.compile(r"(?<![\w.])[0-9]{1,3}(?: ?[\[(]\.[\])] ?[0-9]{1,3}){3}(?![\w.])"),
@@ -187,7 +188,7 @@ def free_segments(text: str, strict: list[Segment]) -> list[Segment]:
         return loose
     starts, ends = [s for s, _, _ in strict], sorted(e for _, e, _ in strict)
     # As many have ended before its start as have begun before its end.
-    return [c for c in loose if np.searchsorted(ends, c[0], side="right") == np.searchsorted(starts, c[1])]
+    return [c for c in loose if bisect_right(ends, c[0]) == bisect_left(starts, c[1])]
 
 
 N_SHAPES = 11
@@ -230,7 +231,7 @@ def best(segments: list[Segment], scores: np.ndarray) -> list[int]:
     ends = [segments[i][1] for i in order]
     value, take = [0.0], []
     for n, i in enumerate(order):
-        last = int(np.searchsorted(ends[:n], segments[i][0], side="right"))
+        last = bisect_right(ends, segments[i][0], 0, n)
         with_it = value[last] + scores[i]
         take.append(last if with_it > value[n] else -1)
         value.append(max(with_it, value[n]))
@@ -250,18 +251,17 @@ def marginals(segments: list[Segment], scores: np.ndarray) -> np.ndarray:
     ends = [segments[i][1] for i in by_end]
     forward = [0.0]
     for n, i in enumerate(by_end):
-        last = int(np.searchsorted(ends[:n], segments[i][0], side="right"))
+        last = bisect_right(ends, segments[i][0], 0, n)
         forward.append(float(np.logaddexp(forward[n], forward[last] + scores[i])))
     by_start = sorted(range(len(segments)), key=lambda i: -segments[i][0])
     starts = [-segments[i][0] for i in by_start]
     backward = [0.0]
     for n, i in enumerate(by_start):
-        last = int(np.searchsorted(starts[:n], -segments[i][1], side="right"))
+        last = bisect_right(starts, -segments[i][1], 0, n)
         backward.append(float(np.logaddexp(backward[n], backward[last] + scores[i])))
     out = np.zeros(len(segments))
     for i, (start, end, _) in enumerate(segments):
-        left = forward[int(np.searchsorted(ends, start, side="right"))]
-        right = backward[int(np.searchsorted(starts, -end, side="right"))]
+        left, right = forward[bisect_right(ends, start)], backward[bisect_right(starts, -end)]
         out[i] = np.exp(left + scores[i] + right - forward[-1])
     return out
 
