@@ -326,7 +326,7 @@ def open_articles(news, log):
     """Open articles of a stored lake: compacted in the middle of its log, and carried on from there."""
     log = log.withColumns({"logged_at": F.col("logged_at").cast("timestamp"), "run_id": F.lit("-")})
     middle = F.col("logged_at") < F.lit(LOGGED_BEFORE).cast("timestamp")
-    rows = bronze.with_hash(news).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+    rows = bronze.with_hash(news).withColumn("ingested_at", times.instant(RUN_AT))  # one run, so one day
     lake = _stored_lake(news.sparkSession, rows)
     lake.append("status", log.filter(middle))
     lake.compact(open_after=1)
