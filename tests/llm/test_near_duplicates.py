@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from wiremere.llm import minhash, tables, words
 
@@ -87,6 +88,29 @@ def test_nulls_repeats_and_extra_columns(spark):
     assert got == [(0, None, True), (5, 5, True), (5, 5, True), (7, 7, True), (9, 5, False)]
 
 
+def test_texts_of_one_doc_id_go_by_themselves(spark):
+    rng = random.Random(9)
+    rows = [(rng.randrange(6), t) for _, t in corpus() for _ in range(rng.choice([1, 1, 2]))]
+    # The expected groups are those of rows with ids of their own.
+    groups = brute_force(list(enumerate(t for _, t in rows)))
+    least, heads = {}, set()
+    for n, (_, component) in groups.items():
+        least[component] = min(least.get(component, rows[n][0]), rows[n][0])
+    want = sorted((rows[n][0], rows[n][1] or "", least[c], rows[n][0] == least[c]) for n, (_, c) in groups.items())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.near_duplicates(docs, rows=True).join(
+        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").distinct(), ["doc_id", "text_hash"]
+    )
+    found = found.collect()
+    assert sorted((r.doc_id, r.text or "", r.component_id, r.kept) for r in found) == want
+    # One text of one doc_id of every group stays.
+    of = {row: c for row, (_, c) in zip(rows, (groups[n] for n in range(len(rows)))) if shingles(row[1])}
+    for r in found:
+        if r.stays and shingles(r.text):
+            heads.add((of[(r.doc_id, r.text)], r.doc_id, r.text))
+    assert sorted(c for c, _, _ in heads) == sorted(set(of.values()))
+
+
 def test_empty_table(spark):
     assert result(spark, []) == {}
 

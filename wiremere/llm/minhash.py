@@ -1,13 +1,14 @@
 """Near-duplicate documents: MinHash bands, signature test, full sets, connected components.
 
 Documents with equal shingle sets are merged first, so a group of exact copies is one node. Band
-buckets then propose pairs: every member against the bucket's smallest document, which takes one row
+buckets then propose pairs: every member against the bucket's smallest node, which takes one row
 per member and joins most of a group of near copies in one round. Members that are still in different
 components meet in blocks, and only links leave a block. Every link is confirmed on full shingle sets.
 
 Nulls: a null text is empty. Empty texts have no shingles and are linked with nothing. A row without
 doc_id takes no part in links; its component_id is null and it is kept. Repeated equal rows give
-equal results; a doc_id with several texts is one node for links and keeps one text's bands.
+equal results. Of a doc_id with several texts every row goes by its own text: nodes are sets, not ids,
+so texts that resemble nothing stay in components of their own.
 """
 
 import hashlib
@@ -55,7 +56,7 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
+        ids, hashes, texts = batch.columns
         for start, end in words.slices(texts):
             values, offsets = words.shingle_sets(texts.slice(start, end - start), WIDTH)
             minima = signatures(values, offsets)
@@ -67,29 +68,36 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(start, end - start),
+                    hashes.slice(start, end - start),
                     pa.array(np.diff(offsets)),
                     pa.array(keys, pa.binary()),
                     words.lists(np.ascontiguousarray(band_keys(minima)).reshape(-1), flat),
                     pa.array([m.tobytes() for m in minima.astype(np.uint8)], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_key", "bands", "marks"],
+                ["doc_id", "text_hash", "n_shingles", "set_key", "bands", "marks"],
             )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
+        nodes, texts = batch.column(0), batch.column(1)
         for start, end in words.slices(texts):
             values, offsets = words.shingle_sets(texts.slice(start, end - start), WIDTH)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(start, end - start), words.lists(values, offsets)], ["doc_id", "shingles"]
+                [nodes.slice(start, end - start), words.lists(values, offsets)], ["node", "shingles"]
             )
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash and text; the first two tell rows of one doc_id apart."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key, bands, marks (low bytes of the signature) per row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _features, "doc_id long, n_shingles long, set_key binary, bands array<long>, marks binary"
+    """doc_id, text_hash, n_shingles, set_key, bands, marks (low bytes of the signature) per row."""
+    return _texts(docs).mapInArrow(
+        _features, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<long>, marks binary"
     )
 
 
@@ -109,15 +117,15 @@ def _alike(size_a, size_b):
 
 def _tested(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Distinct pairs (u, v) whose sizes and signatures allow the similarity."""
-    marks = nodes.select("doc_id", "n_shingles", "marks")
-    side = lambda n: marks.select(F.col("doc_id").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("marks").alias(f"m{n}"))
+    marks = nodes.select("node", "n_shingles", "marks")
+    side = lambda n: marks.select(F.col("node").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("marks").alias(f"m{n}"))
     joined = pairs.distinct().join(side("u"), "u").join(side("v"), "v").filter(_alike(F.col("nu"), F.col("nv")))
     return joined.select("u", "v", "mu", "mv").mapInArrow(_similar_marks, "u long, v long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose full shingle sets reach the similarity."""
-    side = lambda n: sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"s{n}"))
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("shingles").alias(f"s{n}"))
     joined = pairs.join(side("u"), "u").join(side("v"), "v")
     both = F.size(F.array_intersect("su", "sv"))
     return (
@@ -151,7 +159,7 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     stray and component is enough to join the two.
     """
     for run in _runs(batches, ["home", "left", "right"]):
-        ids, component, size = (run.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
+        ids, component, size = (run.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
         stray = run.column("stray").to_numpy()
         marks = np.frombuffer(b"".join(run.column("marks").to_pylist()), np.uint8).reshape(len(ids), -1)
         sets = run.column("shingles").combine_chunks()
@@ -176,13 +184,13 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that still hold several components: (bucket, doc_id, component, home).
+    """Members of buckets that still hold several components: (bucket, node, component, home).
 
     `home` is the component with most members in the bucket. Pairs inside a component need no check,
     so only members outside of home have to meet the rest.
     """
-    labelled = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    labelled = members.join(labels, "node", "left").select(
+        "bucket", "node", F.coalesce("component", "node").alias("component")
     )
     counts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     homes = counts.groupBy("bucket").agg(
@@ -198,15 +206,15 @@ def _late_links(apart: DataFrame, nodes: DataFrame) -> DataFrame:
     Two members of a bucket that are in different components are a stray and a home member, or two
     strays of the same home. So per home, each block of strays meets each block of all. Blocks are
     dealt by hash and every pair of blocks is one small group: a home of any size spreads over many
-    tasks, a document is not met once per bucket, and only links leave a block.
+    tasks, a node is not met once per bucket, and only links leave a block.
     """
-    groups = apart.select("home", "doc_id", "component").distinct()
+    groups = apart.select("home", "node", "component").distinct()
     sizes = groups.groupBy("home").agg(F.count("*").alias("members"), F.count_if(F.col("component") != F.col("home")).alias("strays"))
-    full = groups.join(sizes, "home").join(nodes, "doc_id")
+    full = groups.join(sizes, "home").join(nodes, "node")
     blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK)).cast("long")
-    own = lambda n: F.pmod(F.xxhash64("doc_id"), blocks(n))
+    own = lambda n: F.pmod(F.xxhash64("node"), blocks(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
-    columns = ["home", "left", "right", "stray", "doc_id", "component", "n_shingles", "marks", "shingles"]
+    columns = ["home", "left", "right", "stray", "node", "component", "n_shingles", "marks", "shingles"]
     strays = full.filter("component <> home").withColumns({"stray": F.lit(True), "left": own("strays")})
     strays = strays.withColumn("right", every("members")).select(columns)
     others = full.withColumns({"stray": F.lit(False), "right": own("members")})
@@ -216,36 +224,47 @@ def _late_links(apart: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.mapInArrow(_block_links, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept per row of docs (doc_id, text)."""
+def near_duplicates(docs: DataFrame, rows: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept per row of docs (doc_id, text).
+
+    With `rows`, also text_hash and stays: whether the row's doc_id and text are those by which its
+    group is kept. Where a doc_id has several texts, `kept` may hold for two of one group, `stays` not.
+    """
     prepare(docs.sparkSession)
     table = stored(features(docs))
+    # A node per distinct set, numbered as it is written; results do not depend on the numbers.
     classes = table.filter("set_key is not null and doc_id is not null")
-    classes = stored(classes.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
-    heads = table.join(classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"])
-    heads = heads.dropDuplicates(["doc_id"])
-
-    rows = heads.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
-    members = stored(rows.join(shared.filter("lead < last"), "bucket").select("bucket", "doc_id", "lead"))
-
-    # Full sets of all documents that share a bucket; their texts are shuffled once, at any size.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
-    sets = chosen.dropDuplicates(["doc_id"]).mapInArrow(_sets, "doc_id long, shingles array<long>")
-    nodes = stored(heads.select("doc_id", "n_shingles", "marks").join(sets, "doc_id"))
-
-    first = members.filter("doc_id <> lead").select(F.col("lead").alias("u"), F.col("doc_id").alias("v"))
+    classes = classes.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("head"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
+    heads = table.join(classes.select("set_key", "node", "head.*"), ["set_key", "doc_id", "text_hash"]).dropDuplicates(["set_key"])
+
+    spread = heads.select("node", F.explode("bands").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
+    members = stored(spread.join(shared.filter("lead < last"), "bucket").select("bucket", "node", "lead"))
+
+    # Full sets of all nodes that share a bucket; their texts are shuffled once, at any size.
+    wanted = members.select("node").distinct().join(classes.select("node", "head.*"), "node")
+    chosen = _texts(docs).join(wanted.hint("merge"), ["doc_id", "text_hash"])
+    chosen = chosen.dropDuplicates(["doc_id", "text_hash"]).select("node", "text")
+    sets = chosen.mapInArrow(_sets, "node long, shingles array<long>")
+    nodes = stored(heads.select("node", "n_shingles", "marks").join(sets, "node"))
+
+    first = members.filter("node <> lead").select(F.col("lead").alias("u"), F.col("node").alias("v"))
     links = stored(_confirmed(stored(_tested(first, nodes)), nodes))
     labels = components(links)
     late = stored(_late_links(stored(_apart(members, labels)), nodes))
     if not late.isEmpty():
         labels = components(links.unionByName(late))
 
-    rows = table.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
-    rows = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    rows = rows.withColumn("component_id", component)
-    return rows.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    # A component goes by the smallest doc_id of its nodes, and of that one's texts by the least hash.
+    labelled = labels.join(classes.select("node", "head"), "node")
+    least = labelled.groupBy("component").agg(F.min("head").alias("least"))
+    groups = classes.select("set_key", "node", "head").join(labelled.select("node", "component").join(least, "component"), "node", "left")
+    groups = groups.select("set_key", F.coalesce("least", "head").alias("least"))
+
+    out = table.select("doc_id", "text_hash", "n_shingles", "set_key").join(groups, "set_key", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least.doc_id", "doc_id")).alias("component_id")
+    out = out.withColumn("component_id", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    own = F.col("doc_id").isNull() | F.col("set_key").isNull() | (F.col("text_hash") == F.col("least.text_hash"))
+    extra = ["text_hash", (F.col("kept") & own).alias("stays")]
+    return out.select("doc_id", "n_shingles", "component_id", "kept", *(extra if rows else []))
