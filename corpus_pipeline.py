@@ -25,14 +25,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; one row per doc_id.
+    """The document with the smallest doc_id of each group of near copies; of equal rows one.
 
-    Rows without doc_id belong to no group and stay.
+    Every row goes by its own text: different texts of one doc_id all stay. Rows that differ in other
+    columns only are one document, and the least of them stays. Rows without doc_id belong to no group and
+    stay.
     """
-    kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id")
+    stays = minhash.near_duplicates(docs, rows=True).filter("stays and doc_id is not null")
+    stays = stays.select(F.col("doc_id").alias("id"), "text_hash").distinct()
     docs = docs.select(COLUMNS)
-    groups = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return groups.select(COLUMNS).unionByName(docs.filter("doc_id is null"))
+    same = [F.col("doc_id").cast("long") == F.col("id"), F.xxhash64(F.col("text").cast("string")) == F.col("text_hash")]
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    groups = docs.join(stays, same).groupBy("id", "text_hash").agg(F.min(F.struct("doc_id", *rest, "text")).alias("row"))
+    return groups.select("row.*").select(COLUMNS).unionByName(docs.filter("doc_id is null"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
