@@ -61,6 +61,18 @@ def test_one_document_of_each_group_stays(stages):
     assert set(after) <= set(before)
 
 
+def test_different_texts_of_one_doc_id_stay(spark):
+    near = "one two three four five six seven eight nine ten"
+    other = "totally other words stand here now friends"
+    rows = [(5, near, "en", "b", 9), (5, other, "en", "a", 9), (5, near, "en", "a", 9), (7, near, "en", "a", 9), (3, near + " end", "de", "a", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for _ in range(2):
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+        assert sorted(map(tuple, kept)) == [rows[4], rows[1]]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.filter("doc_id > 3"), SF).collect()
+    assert sorted(map(tuple, kept)) == [rows[2], rows[1]]
+
+
 def test_no_strict_personal_data_is_left(stages):
     before, after = stages["personal_data"]
     assert sorted(r.doc_id for r in before) == sorted(r.doc_id for r in after)
