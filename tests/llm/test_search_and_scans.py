@@ -222,6 +222,60 @@ def test_licences(spark, tmp_path):
     assert licences.scan(empty).count() == 0
 
 
+def plain_matches(found, idf):
+    """Every template at every start, word for word."""
+    out = []
+    for t, template in enumerate(licences.TEMPLATES):
+        text = template.text.split()
+        keys = set()
+        for key in template.keys:
+            at = next(i for i in range(len(text)) if text[i : i + len(key.split())] == key.split())
+            keys |= set(range(at, at + len(key.split())))
+        for start in range(-len(text), len(found)):
+            here = [0 <= start + p < len(found) and found[start + p] == w for p, w in enumerate(text)]
+            if all(here[p] for p in keys):
+                out.append((t, start + min(keys), round(sum(idf[w] for w, x in zip(text, here) if x) / sum(idf[w] for w in text), 9)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("rare", [1, 2, 3, 50])
+def test_matches_equal_all_templates_at_all_places(monkeypatch, rare):
+    monkeypatch.setattr(licences, "RARE", rare)
+    rng = np.random.default_rng(rare)
+    names = licences.vocabulary(licences.TEMPLATES)
+    # Weights with many ties, so that the order of lookups has to break them.
+    idf = {w: float(rng.integers(1, 6)) for w in names}
+    index = licences.Index(licences.TEMPLATES, idf)
+    number = {w: int(np.flatnonzero(index.hashes == np.uint64(words.hash_word(w)))[0]) for w in names}
+    total = 0
+    for _ in range(60):
+        found = []
+        for _ in range(int(rng.integers(1, 12))):
+            text = licences.TEMPLATES[rng.integers(len(licences.TEMPLATES))].text.split()
+            cut = int(rng.integers(0, len(text))) if rng.random() < 0.4 else 0
+            found += text[cut:] if rng.random() < 0.5 else text[: len(text) - cut]
+            if rng.random() < 0.3:
+                found[int(rng.integers(len(found)))] = str(rng.choice([*names, "other"]))
+        known = [(i, number[w]) for i, w in enumerate(found) if w in number]
+        places, tokens = (np.array(x, np.int64) for x in zip(*known))
+        got = sorted((t, s, round(c, 9)) for t, s, c in index.matches(places, tokens))
+        assert got == plain_matches(found, idf)
+        total += len(got)
+    assert total > 100
+
+
+def test_starts_are_those_where_all_looked_up_words_agree():
+    """Words that all occur, but never at their places relative to each other, leave no start."""
+    idf = dict.fromkeys(licences.vocabulary(licences.TEMPLATES), 1.0)
+    index = licences.Index(licences.TEMPLATES, idf)
+    number = {w: int(np.flatnonzero(index.hashes == np.uint64(words.hash_word(w)))[0]) for w in ("all", "rights", "reserved")}
+    reserved = [t.label for t in licences.TEMPLATES].index("reserved")
+    apart = ["all"] * 300 + ["reserved"] * 300 + ["rights"] * 300
+    for text, starts in ((apart, None), (apart + ["all", "rights", "reserved"], [900])):
+        got = index.starts(np.arange(len(text)), np.array([number[w] for w in text]))
+        assert (got[reserved].tolist() if reserved in got else None) == starts
+
+
 def test_every_place_on_real_texts(spark):
     sf = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}

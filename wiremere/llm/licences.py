@@ -1,11 +1,12 @@
-"""Licence scan by the place of each template's rarest key word.
+"""Licence scan by a positional index of rare words.
 
 Templates are short licence passages. Words get an inverse document frequency from all documents. The
-index is simplified: it posts one (template, place) per template, that of the rarest word of its key
-phrases, its anchor. Anchors are looked up in a file, rarest first; each occurrence gives a start, the
-word's place in the file minus its place in the template. Votes of several words are not intersected:
-a start counts as a match when the template's mandatory key phrases stand there word for word, which any
-match must hold. Its score is the share of the template's weight that is found in place.
+index posts (template, place) for the RARE rarest words of each template's mandatory key phrases. A file
+looks its licence words up from the highest frequency weight down; each occurrence gives the start that the
+template would have, the word's place in the file minus its place in the template, and the starts of one
+template's words are intersected, so only those stay where its rarest words stand at their places
+relative to each other. There the key phrases are verified word for word. A match must hold them, so
+looking up no other words loses none. Its score is the share of the template's weight that is found in place.
 
 Base phrases are templates of their own whose key phrase is the whole text, so all their places come
 out of the same index, at any number.
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from wiremere.llm import words
 from wiremere.llm.tables import prepare
 
+RARE = 3  # words of a template that are looked up and intersected
+
 
 @dataclass(frozen=True)
 class Template:
@@ -79,7 +82,7 @@ def vocabulary(templates: list[Template]) -> list[str]:
 
 
 class Index:
-    """The templates' words, with the rarest word of each one's key phrases as its anchor."""
+    """The templates' words, with postings of the rarest words of each one's key phrases."""
 
     def __init__(self, templates: list[Template], idf: dict[str, float]):
         self.templates = templates
@@ -91,8 +94,11 @@ class Index:
         self.weight = np.array([idf[names[n]] for n in order])
         self.words = [[number[w] for w in t.text.split()] for t in templates]
         self.total = [self.weight[ws].sum() for ws in self.words]
-        self.key_places = []
-        self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        # Places of all words by falling weight, the order in which files look them up.
+        self.rank = np.empty(len(order), np.int64)
+        self.rank[np.lexsort((np.arange(len(order)), -self.weight))] = np.arange(len(order))
+        self.key_places, self.lookups = [], []
+        self.postings: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for t, template in enumerate(templates):
             text, places = template.text.split(), []
             for key in template.keys:
@@ -100,24 +106,48 @@ class Index:
                 at = next(i for i in range(len(text)) if text[i : i + len(phrase)] == phrase)
                 places += range(at, at + len(phrase))
             self.key_places.append(sorted(set(places)))
-            # The rarest word of the key phrases leads to every place where they can stand.
-            anchor = max(self.key_places[-1], key=lambda p: (self.weight[self.words[t][p]], -p))
-            self.postings[self.words[t][anchor]].append((t, anchor))
+            rare = sorted(self.key_places[-1], key=lambda p: (self.rank[self.words[t][p]], p))[:RARE]
+            self.lookups.append(len(rare))
+            for turn, place in enumerate(rare):
+                self.postings[self.words[t][place]].append((t, place, turn))
+        # A template's rarest word: without any of these a file matches nothing.
+        self.leads = sorted(w for w, posts in self.postings.items() if any(turn == 0 for _, _, turn in posts))
+
+    def starts(self, places: np.ndarray, tokens: np.ndarray) -> dict[int, np.ndarray]:
+        """Where each template can start: the intersected votes of its rarest words."""
+        order = np.argsort(tokens, kind="stable")
+        found, begins = np.unique(tokens[order], return_index=True)
+        occurrences = dict(zip(found.tolist(), np.split(places[order], begins[1:])))
+        starts: dict[int, np.ndarray] = {}
+        looked_up = dict.fromkeys(range(len(self.templates)), 0)
+        for token in sorted(occurrences.keys() & self.postings.keys(), key=lambda w: self.rank[w]):
+            for t, place, turn in self.postings[token]:
+                # A rarer word that is missing, or never stands at its place, has ruled the template out.
+                if turn == looked_up[t] and (turn == 0 or len(starts[t])):
+                    votes = occurrences[token] - place
+                    starts[t] = votes if turn == 0 else np.intersect1d(starts[t], votes, assume_unique=True)
+                    looked_up[t] += 1
+        return {t: s for t, s in starts.items() if looked_up[t] == self.lookups[t] and len(s)}
 
     def matches(self, places: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int, float]]:
-        """(template, start of its key phrase, score) from a file's licence words and their places."""
-        at = dict(zip(places.tolist(), tokens.tolist()))
+        """(template, start of its key phrase, score) from a file's licence words and their places, ascending."""
         found = []
-        # Rarest words first; each occurrence gives the template's start relative to it.
-        for token in sorted(set(tokens.tolist()) & self.postings.keys(), key=lambda w: -self.weight[w]):
-            for place in places[tokens == token].tolist():
-                for t, anchor in self.postings[token]:
-                    start = place - anchor
-                    if all(at.get(start + p) == self.words[t][p] for p in self.key_places[t]):
-                        hit = sum(self.weight[w] for p, w in enumerate(self.words[t]) if at.get(start + p) == w)
-                        found.append((t, start + self.key_places[t][0], float(hit / self.total[t]) if self.total[t] else 1.0))
+        for t, starts in self.starts(places, tokens).items():
+            for p in self.key_places[t]:
+                starts = starts[self._stands(places, tokens, starts + p, self.words[t][p])]
+            weight = np.zeros(len(starts))
+            for p, w in enumerate(self.words[t]):
+                weight += self.weight[w] * self._stands(places, tokens, starts + p, w)
+            score = weight / self.total[t] if self.total[t] else np.ones(len(starts))
+            found += [(t, s, c) for s, c in zip((starts + self.key_places[t][0]).tolist(), score.tolist())]
         return found
 
+    @staticmethod
+    def _stands(places: np.ndarray, tokens: np.ndarray, at: np.ndarray, word: int) -> np.ndarray:
+        """Whether a word stands at some places of a file."""
+        i = np.minimum(np.searchsorted(places, at), len(places) - 1)
+        return (places[i] == at) & (tokens[i] == word)
+
 
 def _counted(names: list[str]):
     """Documents per template word and partition."""
@@ -167,8 +197,7 @@ def scan(docs: DataFrame, templates: list[Template] | None = None, idf: dict[str
                 found, before, row = text_words(texts.slice(start, end - start))
                 at = np.minimum(np.searchsorted(index.hashes, found), len(index.hashes) - 1)
                 known = np.flatnonzero(index.hashes[at] == found)
-                # Only texts that hold some template's anchor can match.
-                anchored = np.isin(at[known], list(index.postings))
+                anchored = np.isin(at[known], index.leads)
                 rows = [[] for _ in range(end - start)]
                 cuts = np.searchsorted(known, before)
                 for r in np.unique(row[known[anchored]]):
