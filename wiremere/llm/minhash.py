@@ -28,6 +28,7 @@ BANDS, ROWS = 32, 4
 # At similarity 0.75 a signature of 128 values agrees in fewer than 70 places once in 10**6 times.
 LEAST_EQUAL = 70
 BLOCK = 128
+PARTS = 64  # tasks that share the nodes of one component
 
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -224,6 +225,20 @@ def _late_links(apart: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.mapInArrow(_block_links, "u long, v long")
 
 
+def _least_heads(labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, least): the smallest head of each node's component.
+
+    A component may hold a third of all nodes. Its nodes are dealt over PARTS parts; the smallest head is
+    found per part, then per component, and goes back to the parts and from there to the nodes.
+    """
+    part = F.pmod(F.xxhash64("node"), F.lit(PARTS)).alias("part")
+    labelled = labels.join(classes.select("node", "head"), "node").select("node", "component", "head", part)
+    parts = labelled.groupBy("component", "part").agg(F.min("head").alias("head"))
+    least = parts.groupBy("component").agg(F.min("head").alias("least"))
+    parts = parts.select("component", "part").join(least, "component")
+    return labelled.select("node", "component", "part").join(parts, ["component", "part"]).select("node", "least")
+
+
 def near_duplicates(docs: DataFrame, rows: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept per row of docs (doc_id, text).
 
@@ -257,9 +272,7 @@ def near_duplicates(docs: DataFrame, rows: bool = False) -> DataFrame:
         labels = components(links.unionByName(late))
 
     # A component goes by the smallest doc_id of its nodes, and of that one's texts by the least hash.
-    labelled = labels.join(classes.select("node", "head"), "node")
-    least = labelled.groupBy("component").agg(F.min("head").alias("least"))
-    groups = classes.select("set_key", "node", "head").join(labelled.select("node", "component").join(least, "component"), "node", "left")
+    groups = classes.select("set_key", "node", "head").join(_least_heads(labels, classes), "node", "left")
     groups = groups.select("set_key", F.coalesce("least", "head").alias("least"))
 
     out = table.select("doc_id", "text_hash", "n_shingles", "set_key").join(groups, "set_key", "left")
