@@ -17,9 +17,11 @@ def _confidence() -> Column:
 
 def signal_summary(signals: DataFrame) -> DataFrame:
     """Per category: signals, action items, mean confidence, latest signal."""
-    return signal_counts(signals).orderBy(
-        F.col("total_signals").desc(), F.col("signal_category").asc_nulls_last()
-    )
+    return ordered_summary(signal_counts(signals))
+
+
+def ordered_summary(per_category: DataFrame) -> DataFrame:
+    return per_category.orderBy(F.col("total_signals").desc(), F.col("signal_category").asc_nulls_last())
 
 
 def signal_counts(signals: DataFrame) -> DataFrame:
@@ -34,7 +36,11 @@ def signal_counts(signals: DataFrame) -> DataFrame:
 
 def report(signals: DataFrame) -> DataFrame:
     """The summary as the dashboard sheet shows it, with an attention flag."""
-    return signal_summary(signals).select(
+    return report_of(signal_counts(signals))
+
+
+def report_of(per_category: DataFrame) -> DataFrame:
+    return ordered_summary(per_category).select(
         labels.category_label(F.col("signal_category")).alias("category"),
         "total_signals",
         "action_items",
@@ -50,7 +56,11 @@ def grand_total(signals: DataFrame) -> DataFrame:
     The total's confidence is the plain mean of the rounded category means, rounded half to even;
     `weighted_avg_confidence_pct` is the mean over all signals.
     """
-    per_category = signal_counts(signals).withColumns(
+    return grand_total_of(signal_counts(signals))
+
+
+def grand_total_of(per_category: DataFrame) -> DataFrame:
+    per_category = per_category.withColumns(
         {
             "category": labels.category_label(F.col("signal_category")),
             "avg_confidence_pct": F.round(F.col("avg_confidence") * 100, 1),
@@ -77,9 +87,11 @@ def grand_total(signals: DataFrame) -> DataFrame:
 
 def kpi_cards(signals: DataFrame) -> DataFrame:
     """One row: total signals, action items, mean of category confidences; zeros without signals."""
-    per_category = signal_counts(signals).withColumn(
-        "pct", F.round(F.col("avg_confidence") * 100, 1)
-    )
+    return kpi_cards_of(signal_counts(signals))
+
+
+def kpi_cards_of(per_category: DataFrame) -> DataFrame:
+    per_category = per_category.withColumn("pct", F.round(F.col("avg_confidence") * 100, 1))
     return per_category.agg(
         F.coalesce(F.sum("total_signals"), F.lit(0)).alias("total_signals"),
         F.coalesce(F.sum("action_items"), F.lit(0)).alias("action_items"),
@@ -88,13 +100,19 @@ def kpi_cards(signals: DataFrame) -> DataFrame:
 
 
 def sentiment_distribution(signals: DataFrame) -> DataFrame:
-    counts = signals.groupBy("sentiment").agg(F.count("*").alias("count"))
+    return ordered_sentiments(signals.groupBy("sentiment").agg(F.count("*").alias("count")))
+
+
+def ordered_sentiments(counts: DataFrame) -> DataFrame:
     return counts.orderBy(F.col("count").desc(), F.col("sentiment").asc_nulls_last())
 
 
 def action_breakdown(signals: DataFrame) -> DataFrame:
     """Counts per action flag. NULL and FALSE are two groups that share the label Monitor."""
-    counts = signals.groupBy("action_required").agg(F.count("*").alias("count"))
+    return labelled_actions(signals.groupBy("action_required").agg(F.count("*").alias("count")))
+
+
+def labelled_actions(counts: DataFrame) -> DataFrame:
     return counts.orderBy(F.col("action_required").desc_nulls_last()).select(
         "action_required", labels.action_label(F.col("action_required")).alias("status"), "count"
     )

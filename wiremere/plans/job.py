@@ -142,8 +142,7 @@ def _run(lake: Lake, options: JobOptions, extract: Extractor, run_at: datetime |
         outcomes = process(lake, extract, options.batch_size, run_at, run_id, options.lenient)
     if options.export_to:
         as_of = options.as_of or run_at.date()
-        exports.export_report(lake.silver(), f"{options.export_to}/report")
-        exports.export_dashboard(lake.silver(), f"{options.export_to}/dashboard", as_of)
+        exports.export_all(lake.silver(), options.export_to, as_of)
     lake.compact()
     lake.views()
     stats = lake.stats().first()
