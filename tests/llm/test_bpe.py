@@ -72,6 +72,21 @@ def test_a_full_table_of_words_is_started_anew(library, monkeypatch):
     check(library, texts, [r for t in texts for r in codec.encode([t])])
 
 
+def test_long_words_do_not_pile_up(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_SIZE", 150_000)
+    codec = bpe.Codec(PATH)
+    texts = [f"{i}," + f"ab{i}é" * 2_000 for i in range(12)]
+    found, held = [], []
+    for text in texts:
+        found += codec.encode([text])
+        held.append(codec.held)
+        assert held[-1] == bpe._size(codec.words) + bpe._size(codec.parts)
+    check(library, texts, found)
+    # Never more than the bound and what one call adds.
+    assert max(held) <= 150_000 + max(held[0], max(b - a for a, b in zip(held, held[1:])))
+    assert sum(held[i] > held[i + 1] for i in range(11)) >= 2 and len(codec.words) < 5
+
+
 def test_frames(spark, library):
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(TEXTS)], "doc_id long, text string, ids int, decoded string")
     rows = bpe.encode(docs, decoded=True).orderBy("doc_id").collect()

@@ -6,8 +6,9 @@ pair of lowest rank. A merge changes three leaves and the paths above them; the
 the root is empty. Short pre-tokens, which are nearly all, are merged side by side in arrays, long ones
 one at a time.
 
-Words recur, so each Python worker keeps the results of recent words in a bounded table; a text is the
-concatenation of its words' ids. Splitting at white space first is exact, since this vocabulary drops
+Words recur, so each Python worker keeps the results of recent words in tables, bounded by number and by
+size, so that neither many words nor long ones fill its memory; a text is the concatenation of its words'
+ids. Splitting at white space first is exact, since this vocabulary drops
 white space and no rule of it looks across.
 
 Nulls: a null text is empty and has no ids. Special tokens in a text are one id each.
@@ -27,6 +28,7 @@ from wiremere.llm import words
 from wiremere.llm.tables import prepare
 
 CACHED_WORDS = 400_000
+CACHED_SIZE = 1 << 26  # characters of cached words and pieces, and bytes of their ids and names
 SIDE_BY_SIDE = 64  # longest pre-token that is merged in arrays with others
 NONE = np.iinfo(np.int64).max
 
@@ -85,6 +87,7 @@ class Codec:
         self.names = np.array([self.tokens.get(i, "") for i in range(max(self.tokens) + 1)], object)
         self.words: dict[str, tuple[bytes, str]] = {}
         self.parts: dict[str, tuple[bytes, str]] = {}
+        self.held = 0  # size of both tables
 
     @staticmethod
     @cache
@@ -234,10 +237,10 @@ class Codec:
         """Encode words that are not in the table yet."""
         split = {word: self.pieces(word) for word in fresh}
         wanted = {p for ps in split.values() for p in ps if isinstance(p, str)}
-        if len(self.parts) > CACHED_WORDS:
-            self.parts.clear()
         if new := list(wanted - self.parts.keys()):
-            self.parts |= self.merge(new)
+            merged = self.merge(new)
+            self.parts |= merged
+            self.held += _size(merged)
         parts, known = self.parts, self.words
         for word, ps in split.items():
             if len(ps) == 1 and type(ps[0]) is str:
@@ -245,6 +248,7 @@ class Codec:
             else:
                 found = [parts[p] if type(p) is str else self.entry([p]) for p in ps]
                 known[word] = b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[1]])
+        self.held += _size({word: known[word] for word in split})
 
     def text(self, ids) -> str:
         """Decode: this vocabulary has no decoder of its own, so its tokens are set apart by spaces."""
@@ -255,8 +259,10 @@ class Codec:
         parts = [[p for p in PLAIN_SPACE.split(t) if p] if SEPARATORS.search(t) else t.split() for t in texts]
         every = set().union(*parts)
         fresh = every - self.words.keys()
-        if len(self.words) + len(fresh) > CACHED_WORDS:
+        if max(len(self.words) + len(fresh), len(self.parts)) > CACHED_WORDS or self.held > CACHED_SIZE:
             self.words.clear()
+            self.parts.clear()
+            self.held = 0
             fresh = every
         self.learn(fresh)
         for ps in parts:
@@ -267,6 +273,10 @@ class Codec:
                 yield b"", ""
 
 
+def _size(table: dict[str, tuple[bytes, str]]) -> int:
+    return sum(len(word) + len(ids) + len(names) for word, (ids, names) in table.items())
+
+
 def _round_trip(path: str, texts: pa.Array) -> Iterator[tuple[int, int, list[bytes], list[str]]]:
     codec = Codec.of(path)
     texts = texts.cast(pa.large_string()).fill_null("")
