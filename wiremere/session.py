@@ -66,6 +66,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_run_folder.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path with all below it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 @contextmanager
 def run_folder(spark: SparkSession) -> Iterator[str]:
     """One folder for all scratch tables of a run, removed at its end."""
@@ -75,8 +81,7 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _run_folder.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        remove(spark, folder)
 
 
 def materialise(df: DataFrame) -> DataFrame:
