@@ -114,13 +114,14 @@ def test_spots_equal_plain_ones():
 def test_neighbours(spark, n):
     texts = [TEXTS[i % len(TEXTS)] if i % 3 else f"the {i} of words é\U0001f600 " * (i % 7) for i in range(n)]
     docs = spark.createDataFrame([(i * 3, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, h int")
+    learned = spots.frequent(docs)
     got = {r.doc_id: r for r in spots.with_neighbours(docs).collect()}
     assert sorted(got) == [3 * i for i in range(n)]
     for i in range(n):
         own, after = texts[i] or "", texts[i - 1] or ""
         k = len(own) // 3
         edited = own[: len(own) - k] + after[:k]
-        sets = spots.spot_sets(pa.array([own, edited, after]))
+        sets = spots.spot_sets(pa.array([own, edited, after]), learned=learned)
         row = got[3 * i]
         assert (row.n_chars, row.edited_text) == (len(own), edited)
         assert (row.fingerprint, row.edited_fingerprint) == (spots.written(sets[0]), spots.written(sets[1]))
@@ -147,7 +148,7 @@ def test_similar_pairs_equal_brute_force(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     members, pairs = spots.similar_pairs(docs)
     classes = {r.doc_id: r.class_id for r in members.collect()}
-    sets = dict(zip([i for i, _ in rows], spots.spot_sets(pa.array([t for _, t in rows]))))
+    sets = dict(zip([i for i, _ in rows], spots.spot_sets(pa.array([t for _, t in rows]), learned=spots.frequent(docs))))
     heads = sorted({c for i, c in classes.items() if len(sets[i])})
     expected = {(a, b) for n, a in enumerate(heads) for b in heads[n + 1 :] if spots.likeness(sets[a], sets[b]) >= 0.75}
     assert {(r.u, r.v) for r in pairs.collect()} == expected
@@ -172,7 +173,7 @@ def test_spots_cover_texts_without_anchors():
 
 
 def test_words_of_most_documents_are_anchors(spark):
-    rows = [(i, f"qua {i} qua b{i} c{i} d{i} e{i} " + "rare" * (i < spots.MIN_DOCS - 1)) for i in range(150)]
+    rows = [(i, f"qua {i} qua b{i} c{i} d{i} e{i} " + "rare" * (i < 152 // spots.SHARE)) for i in range(150)]
     docs = spark.createDataFrame([*rows, (150, None), (151, "")], "doc_id long, text string")
     learned = spots.frequent(docs)
     assert learned.tolist() == [words.hash_word("qua")]
@@ -182,6 +183,17 @@ def test_words_of_most_documents_are_anchors(spark):
     assert got[9].fingerprint != spots.written(spots.spot_sets(pa.array([rows[9][1]]))[0])
 
 
+@pytest.mark.parametrize("n", [1, 2, 49, 51, 99, 101])
+def test_fingerprints_do_not_change_with_the_size_of_a_table(spark, n):
+    """Each row three times over: every word stands in the same share of the documents."""
+    texts = [f"qua {i} qua b{i} c{i % 9} d{i % 50} e{i} " * (1 + i % 3) for i in range(n)]
+    found = []
+    for times in (1, 3):
+        docs = spark.createDataFrame([(i + n * k, t) for i, t in enumerate(texts) for k in range(times)], "doc_id long, text string")
+        found.append({(r.text, r.fingerprint) for r in spots.fingerprints(docs).collect()})
+    assert found[0] == found[1] and len(found[0]) == n
+
+
 def test_replaced_third_of_an_anchorless_text_lowers_near_edited(spark):
     docs = spark.createDataFrame([(2, "|".join(ANCHORLESS)), (1, "|".join(f"z{i}" for i in range(300)))], "doc_id long, text string")
     assert all(0.3 < r.near_edited < 0.7 for r in spots.with_neighbours(docs).collect())

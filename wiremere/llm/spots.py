@@ -7,7 +7,8 @@ common word too, so every text with words has a spot; a text without any has the
 Likeness of two empty fingerprints is 1.
 
 Common words are a fixed list and the COMMON words that stand in the most documents, counted over all of
-them, if in MIN_DOCS at least. Content words that no chain reaches begin chains of their own: the first of
+them, if in one of SHARE documents at least; ties go to the smaller hash. The rule is the same for a table of
+any size, and a table that holds each row several times has the fingerprints of the rows taken once. Content words that no chain reaches begin chains of their own: the first of
 such a run, and the word of least hash of every CHAIN in a row, so that an edit changes the chains around
 it only. Words left over at the end of a text, where chains are cut off, form chains among themselves.
 Thus spots cover the whole text, but for one or two left-over words that hold a common one.
@@ -36,7 +37,7 @@ STEP = 1
 THRESHOLD = 75  # hundredths
 HEX = 8  # digits per spot
 COMMON = 100  # most frequent words that are anchors too
-MIN_DOCS = 100  # documents that hold such a word, at least
+SHARE = 50  # such a word stands in one of so many documents, at least
 
 ANCHORS = (
     "the of and to in is that it a for was on as with be by this are at from "
@@ -47,7 +48,7 @@ ANCHORS = (
 
 
 def frequent(docs: DataFrame) -> np.ndarray:
-    """Hashes of the COMMON words that stand in the most rows of docs, in MIN_DOCS at least."""
+    """Hashes of the COMMON words that stand in the most rows of docs, in one of SHARE at least."""
     prepare(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,9 +67,10 @@ def frequent(docs: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
 
     counts = docs.select(F.col("text").cast("string")).mapInArrow(count, "word long, n long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_DOCS)
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n"))
     rows = counts.orderBy(F.col("n").desc(), "word").limit(COMMON).collect()
-    return np.array([r["word"] for r in rows], np.int64).view(np.uint64)
+    least = docs.count() / SHARE if rows else 0
+    return np.array([r["word"] for r in rows if r["n"] >= least], np.int64).view(np.uint64)
 
 
 def _restarts(word: np.ndarray, run: np.ndarray) -> np.ndarray:
