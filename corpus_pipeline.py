@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wiremere.llm import bpe, mix, minhash, pii, quality
-from wiremere.session import scratch
+from wiremere.session import remove, run_folder, scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -78,10 +78,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each stored before the next one starts."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of sf_dir, each stored before the next one starts.
+
+    What a stage has stored for itself goes when its result is written, and its input, if another stage's
+    result, goes with it. Only the last result stays.
+    """
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with run_folder(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            remove(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs
