@@ -1,11 +1,14 @@
 """The pipeline, stage by stage, against what each stage must do to its own input."""
 
+import os
+
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from wiremere.llm import bpe, mix, pii
+from wiremere.session import shared_dir
 
 from test_near_duplicates import brute_force
 
@@ -105,3 +108,13 @@ def test_odd_rows(spark):
     for docs in (spark.createDataFrame(rows, ddl), spark.createDataFrame([], ddl)):
         for stage in list(STAGES.values()):
             assert stage(spark, docs, SF).count() >= 0
+
+
+def test_run_leaves_its_result_only(spark):
+    def folders():
+        return set(os.listdir(shared_dir(spark)))
+
+    before = folders()
+    done = corpus_pipeline.run(spark, SF)
+    (left,) = folders() - before
+    assert left.startswith("pipeline-bpe-") and done.count() > 0
