@@ -38,6 +38,23 @@ def test_ingest_of_several_files_and_a_replay(spark, tmp_path):
     assert run("one") == hashes + 1
 
 
+def test_a_backlog_takes_several_bounded_batches(spark, tmp_path):
+    folder = str(tmp_path / "landed")
+    news = bind(spark, SF, "news")
+    news.repartition(6).write.parquet(folder)
+    size = max(f.stat().st_size for f in (tmp_path / "landed").glob("*.parquet"))
+    whole = None
+    for n, (limit, batches) in enumerate([({"max_files": 2}, 3), ({"max_bytes": size}, 6), ({}, 1), ({"max_bytes": 1}, 6)]):
+        lake = Lake(spark, str(tmp_path / f"lake-{n}"))
+        stream = ingest.landed(spark, news.schema, folder, **limit)
+        query = ingest.ingest(stream, lake, str(tmp_path / f"checkpoint-{n}"), ["seq"])
+        query.awaitTermination()
+        assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == batches
+        found = {r.content_hash for r in lake.bronze().select("content_hash").collect()}
+        whole = whole or found
+        assert found == whole and found
+
+
 def test_live_summary_equals_batch(spark, tmp_path):
     landed = str(tmp_path / "signals")
     signals = bind(spark, SF, "signals")

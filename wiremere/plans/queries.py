@@ -779,7 +779,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(spark, f"{out}/lake")
     schema = table(spark, sf, "documents").schema
     for attempt in ("first", "replay"):
-        docs = spark.readStream.schema(schema).parquet(f"{sf}/documents*.parquet")
+        docs = ingest_stream.landed(spark, schema, f"{sf}/documents*.parquet")
         articles = docs.select(
             F.col("source").alias("source_name"),
             F.lit(None).cast("string").alias("source_url"),
